@@ -110,7 +110,7 @@ def _cut(keys: DataFrame, order: list[str], n: int, heap_rows: int) -> tuple[lis
     else:
         return None, 0
     inside = ranged.where(F.col(_PART) == part[_PART]).drop(_PART)
-    if part["keys"] > heap_rows:
+    if part["keys"] > max(heap_rows, 1):
         return _cut(inside, order, left, heap_rows)
     seen = F.sum(_COPIES).over(Window.orderBy(*_ascending(order)).rowsBetween(Window.unboundedPreceding, 0))
     hit = inside.withColumn("__seen", seen).where(F.col("__seen") >= left).orderBy("__seen").limit(1).collect()[0]

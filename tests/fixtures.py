@@ -1,0 +1,67 @@
+"""Small tables with the shapes and edge cases that exports have to get right."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from sluicegate.functions.types import with_source_types
+
+
+def at(text: str) -> dt.datetime:
+    return dt.datetime.fromisoformat(text)
+
+
+NUMBERED_SCHEMA = (
+    "`_Weir%d I-D` int not null, `Weir%d Na-me` string not null, someInteger int, someDecimal decimal(10,2), "
+    "type string, smalldatetime timestamp_ntz, datetime timestamp_ntz not null"
+)
+
+
+def numbered(spark):
+    seconds = ["11.000", "12.123", "13.457", "14.490", "15.233", "27.123"]
+    minutes = ["10:00", "10:05", "10:10", "10:15", "10:25", "10:25"]
+    names = ["mario", "luigi", "toad", "princess", "wario", "yoshi"]
+    kinds = ["plumber", "plumber", "mushroom", "royalty", "badguy", "horse?"]
+    rows = [
+        (i + 1, names[i], i + 1, Decimal("1.10") * (i + 1), kinds[i], at(f"2012-01-10 {minutes[i]}:00"),
+         at(f"2021-01-05 13:43:{seconds[i]}"))
+        for i in range(6)
+    ]
+    df = spark.createDataFrame(rows, NUMBERED_SCHEMA)
+    return with_source_types(df, {"smalldatetime": "smalldatetime", "datetime": "datetime"})
+
+
+def nullable(spark):
+    rows = [
+        (1, "a", at("2012-01-10 10:00:00"), at("2021-01-05 13:43:11.000"), at("2021-01-05 13:43:11.000")),
+        (2, "b", at("2012-01-10 10:05:00"), at("2021-01-05 13:43:12.123"), at("2021-01-05 13:43:12.123")),
+        (None, None, None, None, at("2021-01-05 13:43:14.490")),
+    ]
+    df = spark.createDataFrame(
+        rows, "id int, name string, smalldatetime timestamp_ntz, datetime1 timestamp_ntz, datetime2 timestamp_ntz"
+    )
+    return with_source_types(
+        df, {"smalldatetime": "smalldatetime", "datetime1": "datetime", "datetime2": "datetime"}
+    )
+
+
+def versioned(spark):
+    rows = [(i, bytearray((2000 + i).to_bytes(8, "big"))) for i in range(1, 4)]
+    df = spark.createDataFrame(rows, "id int not null, timestamp binary not null")
+    return with_source_types(df, {"timestamp": "timestamp"})
+
+
+SPECIAL = [
+    ("line with enclosure", "second column"),
+    ("column with backslash \\ inside", "column with backslash and enclosure \\\""),
+    ("column with enclosure \", and comma inside text", 'second column enclosure in text "'),
+    ("columns with\nnew line", "columns with\ttab"),
+    ("column with \\n \\t \\\\", "second col"),
+    ("first\n\nsecond", None),
+    ("unicode žščř", ""),
+]
+
+
+def special(spark):
+    return with_source_types(spark.createDataFrame(SPECIAL, "col1 string, col2 string"), {"col1": "text", "col2": "text"})

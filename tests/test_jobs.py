@@ -1,0 +1,203 @@
+import json
+import logging
+import time
+
+import fixtures
+import pytest
+from pyspark.sql import functions as F
+
+from sluicegate.errors import JobError, StuckWatermarkError
+from sluicegate.plans.job import run_job, run_jobs, time_limit
+from sluicegate.sinks.manifest import read_json
+from sluicegate.sources.tables import CatalogSource, FolderSource, describe_query, register_views, run_query
+from sluicegate.spec import JobSpec, bounded_timeout, jobs_from_options
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    root = str(tmp_path / "in")
+    fixtures.numbered(spark).write.parquet(f"{root}/numbered.parquet")
+    fixtures.versioned(spark).write.parquet(f"{root}/versioned.parquet")
+    return FolderSource(spark, root), str(tmp_path / "out")
+
+
+def add_rows(spark, source, ids):
+    df = fixtures.numbered(spark).where("`_Weir%d I-D` = 6")
+    for i in ids:
+        df.withColumn("_Weir%d I-D", F.lit(i)).write.mode("append").parquet(f"{source.root}/numbered.parquet")
+
+
+def test_first_run_and_next_run(spark, folder):
+    source, out = folder
+    spec = JobSpec("n", table="numbered", watermark="_Weir%d I-D", primary_key=["_Weir%d I-D"], incremental=True)
+    first = run_job(spark, spec, source, out)
+    assert (first.rows, first.state.last_fetched_row) == (6, "6")
+    add_rows(spark, source, [7, 8])
+    second = run_job(spark, spec, source, out)
+    assert (second.rows, second.state.last_fetched_row, second.state.run) == (3, "8", 2)
+    assert sorted(r[0] for r in spark.read.parquet(second.data_path).select("Weir_d_I_D").collect()) == [6, 7, 8]
+    made = read_json(spark, second.manifest_path)
+    assert made["incremental"] is True and made["primary_key"] == ["Weir_d_I_D"]
+
+
+def test_limited_runs_reach_every_row(spark, folder):
+    source, out = folder
+    spec = JobSpec("n", table="numbered", watermark="_Weir%d I-D", limit=2)
+    seen, states = set(), []
+    for _ in range(5):
+        result = run_job(spark, spec, source, out)
+        seen |= {r[0] for r in spark.read.parquet(result.data_path).select("Weir_d_I_D").collect()}
+        states.append(result.state.last_fetched_row)
+    assert seen == {1, 2, 3, 4, 5, 6} and states == ["2", "3", "4", "5", "6"]
+    assert run_job(spark, spec, source, out).rows == 1
+
+
+def test_a_limit_smaller_than_a_tie_is_an_error(spark, folder):
+    source, out = folder
+    add_rows(spark, source, [6, 6, 6])
+    spec = JobSpec("n", table="numbered", watermark="_Weir%d I-D", limit=3)
+    with pytest.raises(StuckWatermarkError):
+        for _ in range(5):
+            run_job(spark, spec, source, out)
+
+
+def test_run_that_fails_before_its_state_is_repeated(spark, folder, monkeypatch):
+    source, out = folder
+    spec = JobSpec("n", table="numbered", watermark="_Weir%d I-D")
+    with monkeypatch.context() as patch:
+        patch.setattr("sluicegate.plans.job.append_state", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            run_job(spark, spec, source, out)
+    result = run_job(spark, spec, source, out)
+    assert result.state.run == 1 and spark.read.parquet(f"{out}/n/data/run=1").count() == 6
+
+
+def test_row_version_job_without_new_rows(spark, folder, caplog):
+    source, out = folder
+    read = source.table
+    source.table = lambda schema, name, **kw: fixtures.with_source_types(read(schema, name), {"timestamp": "timestamp"})
+    spec = JobSpec("v", table="versioned", watermark="timestamp")
+    assert run_job(spark, spec, source, out).state.last_fetched_row == "0x00000000000007D3"
+    assert run_job(spark, spec, source, out, format="selective").rows == 1
+    source.table = lambda schema, name, **kw: fixtures.versioned(spark).where("id = 0")
+    with caplog.at_level(logging.WARNING, "sluicegate"):
+        empty = run_job(spark, spec, source, out)
+    assert 'Exported "0" rows to "v"' in caplog.text
+    assert empty.data_path is None and empty.state.last_fetched_row == "0x00000000000007D3"
+
+
+def test_empty_table_leaves_no_watermark(spark, folder):
+    source, out = folder
+    source.table = lambda schema, name, **kw: fixtures.numbered(spark).where("false")
+    result = run_job(spark, JobSpec("e", table="numbered", watermark="datetime"), source, out)
+    assert result.rows == 0 and result.state.last_fetched_row is None
+
+
+def test_null_watermarks_are_counted(spark, folder):
+    source, out = folder
+    source.table = lambda schema, name, **kw: fixtures.nullable(spark)
+    result = run_job(spark, JobSpec("x", table="t", watermark="datetime1"), source, out)
+    assert (result.rows, result.null_watermarks) == (3, 1)
+    assert result.state.last_fetched_row == "2021-01-05 13:43:12.123"
+
+
+def test_live_source_takes_its_state_before_the_scan(spark, folder):
+    source, out = folder
+    source.live = True
+    read = source.table
+    asked = []
+
+    def table(schema, name, **kw):
+        asked.append(kw)
+        df = read(schema, name)
+        return df.where("`_Weir%d I-D` <= 4") if not kw else df
+
+    source.table = table  # the highest watermark is asked for while rows 5 and 6 are not there yet
+    result = run_job(spark, JobSpec("l", table="numbered", watermark="_Weir%d I-D"), source, out)
+    assert (result.rows, result.state.last_fetched_row) == (6, "4")
+
+
+def test_watermark_that_is_not_output(spark, folder):
+    source, out = folder
+    result = run_job(spark, JobSpec("c", table="numbered", watermark="datetime", columns=["type"]), source, out)
+    assert result.state.last_fetched_row == "2021-01-05 13:43:27.123"
+    assert spark.read.parquet(result.data_path).columns == ["type"]
+
+
+def test_change_jobs(spark, folder):
+    source, out = folder
+    log = spark.createDataFrame(
+        [(5, 4, 1, "one"), (6, 1, 2, "two"), (7, 2, 3, "three")], "lsn long, op int, id int, name string"
+    ).withColumn("ts", F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, lsn)"))
+    spark.createDataFrame([(1, "uno"), (2, "dos")], "id int, name string").write.parquet(f"{source.root}/t.parquet")
+    log.where("lsn = 5").write.parquet(f"{source.root}/t_changes.parquet")
+    spec = JobSpec("t", table="t", primary_key=["id"], cdc=True, cdc_full_load_fallback=True)
+    first = run_job(spark, spec, source, out, format="null_aware")
+    assert first.rows == 2 and first.state.last_fetched_time == "2024-01-01 00:00:05"
+    assert sorted(r.value for r in spark.read.text(first.data_path).collect()) == ['"1","uno"', '"2","dos"']
+    log.where("lsn > 5").write.mode("append").parquet(f"{source.root}/t_changes.parquet")
+    second = run_job(spark, spec, source, out, format="null_aware")
+    assert second.state.last_fetched_time == "2024-01-01 00:00:07"
+    assert sorted(r.value for r in spark.read.text(second.data_path).collect()) == [
+        '"1","one","0"', '"2","two","1"', '"3","three","0"',
+    ]
+
+
+def test_query_job(spark, folder):
+    source, out = folder
+    register_views(spark, source.root, ["numbered"])
+    sql = "SELECT type, count(*) AS n FROM numbered WHERE type <> 'it''s' GROUP BY type;"
+    result = run_job(spark, JobSpec("q", query=sql, primary_key=["type"]), source, out)
+    assert result.rows == 5
+    assert "metadata" not in read_json(spark, result.manifest_path)
+    empty = run_job(spark, JobSpec("q0", query="SELECT 1 AS one WHERE false"), source, out)
+    assert empty.rows == 0 and empty.data_path is not None
+
+
+def test_describe_query(spark):
+    assert describe_query(spark, "SELECT 1 AS a, 'x' AS b;") == [("a", "int"), ("b", "string")]
+    with pytest.raises(JobError):
+        describe_query(spark, "SELECT 1 AS a, 2 AS A")
+
+
+def test_jobs_side_by_side(spark, folder):
+    source, out = folder
+    specs = [JobSpec(f"o{i}", table="numbered", enabled=i != 1) for i in range(3)]
+    assert [(r.output, r.rows) for r in run_jobs(spark, specs, source, out)] == [("o0", 6), ("o2", 6)]
+
+
+def test_view_is_read_like_a_table(spark):
+    fixtures.numbered(spark).createOrReplaceTempView("numbered_view")
+    assert CatalogSource(spark).table(None, "numbered_view").count() == 6
+    assert run_query(spark, "SELECT * FROM numbered_view WHERE type = 'horse?'").count() == 1
+
+
+def test_time_limit_ends_the_jobs_of_its_block(spark):
+    slow = spark.range(0, 1 << 34, 1, 8).select(F.sha2(F.col("id").cast("string"), 512).alias("h")).groupBy("h").count()
+    begun = time.time()
+    with pytest.raises(TimeoutError, match="timed out after 2 seconds"):
+        with time_limit(spark, 2):
+            slow.write.format("noop").mode("overwrite").save()
+    assert time.time() - begun < 60
+    with time_limit(spark, 60):
+        assert spark.range(3).count() == 3
+    assert [bounded_timeout(s) for s in (None, 0, -5, 100_000)] == [None, None, 5, 86_400]
+
+
+def test_options(spark):
+    base = {"outputTable": "o", "table": {"schema": "dbo", "tableName": "t"}}
+    spec = JobSpec.from_options(
+        {**base, "incrementalFetchingColumn": "id", "incrementalFetchingLimit": 5, "primaryKey": ["id"], "nolock": True,
+         "cdcMode": False, "queryTimeout": -7, "advancedMode": True, "columns": ["id"], "incremental": True}
+    )
+    assert (spec.schema, spec.table, spec.watermark, spec.limit, spec.timeout_s) == ("dbo", "t", "id", 5, 7)
+    assert spec.read_uncommitted and spec.incremental and spec.enabled
+    with pytest.raises(JobError, match="not supported for custom query"):
+        JobSpec.from_options({"outputTable": "o", "query": "SELECT 1", "incrementalFetchingColumn": "id"})
+    with pytest.raises(JobError, match="must be set"):
+        JobSpec.from_options({"outputTable": "o"})
+    with pytest.raises(JobError, match="Unknown options"):
+        JobSpec.from_options({**base, "colums": []})
+    many = jobs_from_options({"db": {"queryTimeout": 9}, "tables": [base, {**base, "queryTimeout": 3, "enabled": False}]})
+    assert [(j.timeout_s, j.enabled) for j in many] == [(9, True), (3, False)]
+    assert json.dumps(jobs_from_options(base)[0].columns) == "[]"

@@ -1,0 +1,83 @@
+import datetime as dt
+
+import fixtures
+import pytest
+from pyspark.sql import functions as F
+
+from sluicegate.errors import JobError
+from sluicegate.functions import text
+from sluicegate.operators.project import clean_nul_fields, project_plain, project_selective, select_columns, with_safe_names
+
+
+def one(spark, expression):
+    return spark.range(1).select(expression).first()[0]
+
+
+@pytest.mark.parametrize(
+    "stored, shown",
+    [("2021-01-05 13:43:27.123499", "2021-01-05 13:43:27.123"), ("2021-01-05 13:43:27.123500", "2021-01-05 13:43:27.124"),
+     ("1969-12-31 23:59:59.999500", "1970-01-01 00:00:00.000"), ("1901-01-01 00:00:00.000499", "1901-01-01 00:00:00.000"),
+     ("2021-12-31 23:59:59.999999", "2022-01-01 00:00:00.000")],
+)
+def test_milliseconds_are_rounded(spark, stored, shown):
+    for kind in ("timestamp_ntz", "timestamp"):
+        assert one(spark, text.timestamp_ms(F.lit(stored).cast(kind))) == shown
+
+
+def test_minutes_are_rounded(spark):
+    stamp = lambda s: text.timestamp_minute(F.lit(s).cast("timestamp_ntz"))
+    assert one(spark, stamp("2012-01-10 10:00:29.999")) == "2012-01-10 10:00:00"
+    assert one(spark, stamp("2012-01-10 10:00:30")) == "2012-01-10 10:01:00"
+
+
+def test_rowversion_text(spark):
+    assert one(spark, text.rowversion_hex(text.rowversion_bytes(F.lit(2001).cast("long")))) == "0x00000000000007D1"
+
+
+def test_enclose_doubles_quotes_and_keeps_null(spark):
+    assert one(spark, text.enclose(F.lit('a"b'))) == '"a""b"'
+    assert one(spark, text.enclose(F.lit(None).cast("string"))) is None
+
+
+def test_nul_alone_becomes_empty_and_inside_stays(spark):
+    rows = [("\0", "x"), ("a\0b", "\0"), ("", None)]
+    df = clean_nul_fields(spark.createDataFrame(rows, "a string, b string"))
+    assert [tuple(r) for r in df.collect()] == [("", "x"), ("a\0b", ""), ("", None)]
+
+
+def test_names_are_sanitized_and_unique(spark):
+    assert text.sanitize_name("_Weir%d I-D") == "Weir_d_I_D"
+    assert text.sanitize_name("auto Increment Timestamp") == "auto_Increment_Timestamp"
+    assert text.sanitize_names(["a b", "a-b", "A_b", "%"]) == ["a_b", "a_b_2", "A_b_3", "column"]
+    assert with_safe_names(fixtures.numbered(spark)).columns[:2] == ["Weir_d_I_D", "Weir_d_Na_me"]
+    for name in ("_Weir%d I-D", "Weir%d Na-me", "simple", "a__b"):
+        assert one(spark, text.sanitize(F.lit(name))) == text.sanitize_name(name)
+
+
+def test_columns_keep_the_order_asked_for(spark):
+    df = select_columns(fixtures.numbered(spark), ["type", "_Weir%d I-D"])
+    assert df.columns == ["type", "_Weir%d I-D"]
+    with pytest.raises(JobError, match='Column "nope" was not found'):
+        select_columns(df, ["nope"])
+
+
+def test_selective_projection_goes_by_type(spark):
+    row = project_selective(fixtures.numbered(spark)).orderBy("`_Weir%d I-D`").first()
+    assert row["Weir%d Na-me"] == '"mario"' and row["someInteger"] == 1
+    assert row["smalldatetime"] == "2012-01-10 10:00:00" and row["datetime"] == "2021-01-05 13:43:11.000"
+    nulls = project_selective(fixtures.nullable(spark)).where("id is null").first()
+    assert tuple(nulls) == (None, '""', None, None, "2021-01-05 13:43:14.490")
+
+
+def test_string_of_a_required_column_is_not_coalesced(spark):
+    plan = project_selective(fixtures.numbered(spark).select("`Weir%d Na-me`"))._jdf.queryExecution().analyzed().toString()
+    assert "coalesce" not in plan
+    plan = project_selective(fixtures.numbered(spark).select("type"))._jdf.queryExecution().analyzed().toString()
+    assert "coalesce" in plan
+
+
+def test_plain_projection_changes_row_versions_and_large_texts_only(spark):
+    row = project_plain(fixtures.versioned(spark)).orderBy("id").first()
+    assert tuple(row) == (1, "0x00000000000007D1")
+    row = project_plain(fixtures.numbered(spark)).orderBy("`_Weir%d I-D`").first()
+    assert row["datetime"] == dt.datetime(2021, 1, 5, 13, 43, 11)

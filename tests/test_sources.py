@@ -1,0 +1,44 @@
+from pyspark.sql import functions as F
+
+from sluicegate.sources import jdbc
+from sluicegate.sources.tables import FolderSource, scan
+
+
+def test_read_options():
+    base = {"url": "jdbc:x", "fetchsize": "10"}
+    assert jdbc.read_options({"url": "jdbc:x"})["fetchsize"] == "50000"
+    options = jdbc.read_options(base, read_uncommitted=True, timeout_s=5)
+    assert options["sessionInitStatement"] == jdbc.READ_UNCOMMITTED
+    assert (options["queryTimeout"], options["fetchsize"]) == ("5", "10")
+    assert "sessionInitStatement" not in jdbc.read_options(base)
+    settings = jdbc.catalog_settings("src", "jdbc:x", driver="d")
+    assert settings["spark.sql.catalog.src.pushDownAggregate"] == "true"
+    assert settings["spark.sql.catalog.src.driver"] == "d"
+
+
+def test_names_are_quoted():
+    assert jdbc.sql_name("dbo", 'odd"name') == '"dbo"."odd""name"'
+    assert jdbc.sql_name(None, "t") == '"t"'
+
+
+def test_range_predicates_take_every_row_once(spark):
+    rows = [(i % 50,) for i in range(500)] + [(7,)] * 300 + [(None,)] * 5
+    df = spark.createDataFrame(rows, "k int")
+    for bounds in (jdbc.split_bounds(df, "k", 6), jdbc.even_bounds(0, 49, 6), []):
+        parts = [df.where(p.replace('"', "`")).count() for p in jdbc.range_predicates("k", bounds)]
+        assert sum(parts) == len(rows)
+        placed = df.groupBy(jdbc.range_of("k", bounds).alias("r")).count()
+        assert sorted(n for n in parts if n) == sorted(r["count"] for r in placed.collect())
+
+
+def test_catalog_types_reach_the_fields(spark):
+    listing = spark.createDataFrame([("a", "smalldatetime", "(NULL)", 2)], "column string, type string, default string, ordinal int")
+    df = jdbc.with_catalog_types(spark.createDataFrame([(1, 2)], "a int, b int"), listing.collect())
+    assert df.schema["a"].metadata == {"source_type": "smalldatetime", "default": "(NULL)", "ordinal": 2}
+    assert df.schema["b"].metadata == {}
+
+
+def test_folder_with_schemas_and_formats(spark, tmp_path):
+    spark.range(3).write.json(f"{tmp_path}/dbo/t.json")
+    source = FolderSource(spark, str(tmp_path), format="json", with_schema=True)
+    assert scan(source, "dbo", "t", ["id"]).agg(F.sum("id")).first()[0] == 3
