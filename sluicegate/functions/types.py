@@ -67,6 +67,11 @@ def source_type(field: T.StructField) -> str:
     raise TypeError(f'Column "{field.name}" has the nested type {field.dataType.simpleString()}.')
 
 
+def takes_null(field: T.StructField) -> bool:
+    """Whether a column may hold NULL at its source; readers often report every column as if it may."""
+    return bool((field.metadata or {}).get("nullable", field.nullable))
+
+
 def with_source_types(df, types: dict[str, str]):
     """``df`` whose named columns carry their source type name; no data is touched."""
     return df.select(

@@ -83,30 +83,35 @@ def check_range(from_lsn, to_lsn) -> None:
         raise LsnRangeError("The end LSN is less than the start LSN.")
 
 
-def net_changes(log: ChangeLog, from_lsn, to_lsn, with_log_columns: bool = False) -> DataFrame:
+def net_changes(
+    log: ChangeLog, from_lsn, to_lsn, columns: list[str] | None = None, with_log_columns: bool = False
+) -> DataFrame:
     """The one change per key that a range amounts to, with its delete flag.
 
     A key's last row image wins. A key that was inserted and deleted inside the range is left out; one
     that was deleted and inserted again counts as updated. First and last change of a key come out of
     one aggregation that every task starts on its own rows, so a key with very many changes sends one
-    row per task.
+    row per task. Only the columns asked for are carried along.
     """
     check_range(from_lsn, to_lsn)
-    changes = log.between(from_lsn, to_lsn).where(F.col(quote(log.op)) != BEFORE_UPDATE)
     op = F.col(quote(log.op))
-    rank = F.struct(*(F.col(quote(c)) for c in [log.lsn, *log.sequence]))
-    image = F.struct(*(F.col(quote(c)) for c in [*log.payload, log.lsn, log.op, log.time]))
+    changes = log.between(from_lsn, to_lsn).where(op != BEFORE_UPDATE)
+    shown = columns or log.payload
+    carried = [c for c in shown if c not in log.keys] + [log.op] + ([log.lsn, log.time] if with_log_columns else [])
+    order = [F.col(quote(c)) for c in [log.lsn, *log.sequence]]
+    rank = order[0] if len(order) == 1 else F.struct(*order)
     net = changes.groupBy(*(F.col(quote(k)) for k in log.keys)).agg(
-        F.max_by(image, rank).alias("__last"), F.min_by(op, rank).alias("__first_op")
+        F.max_by(F.struct(*(F.col(quote(c)) for c in carried)), rank).alias("__last"),
+        F.min_by(op, rank).alias("__first_op"),
     )
-    last_op = F.col("__last").getField(log.op)
+    last = F.col("__last")
+    last_op = last.getField(log.op)
     vanished = (F.col("__first_op") == INSERT) & (last_op == DELETE)
     net_op = F.when(last_op == DELETE, DELETE).when(F.col("__first_op") == INSERT, INSERT).otherwise(UPDATE)
-    shown = [F.col("__last").getField(c).alias(c) for c in log.payload]
+    result = [F.col(quote(c)) if c in log.keys else last.getField(c).alias(c) for c in shown]
     if with_log_columns:
-        shown += [F.col("__last").getField(log.lsn).alias(log.lsn), net_op.alias(log.op)]
-        shown += [F.col("__last").getField(log.time).alias(log.time)]
-    return net.where(~vanished).select(*shown, F.when(last_op == DELETE, 1).otherwise(0).alias(IS_DELETED))
+        result += [last.getField(log.lsn).alias(log.lsn), net_op.alias(log.op), last.getField(log.time).alias(log.time)]
+    return net.where(~vanished).select(*result, F.when(last_op == DELETE, 1).otherwise(0).alias(IS_DELETED))
 
 
 def all_changes(log: ChangeLog, from_lsn, to_lsn) -> DataFrame:
@@ -144,11 +149,10 @@ def changes_since(
     begin = F.lit(last_time).cast(log.df.schema[log.time].dataType)
     bounds = lsn_bounds(log, begin, now, on_no_change).collect()[0]
     from_lsn, to_lsn = bounds["from_lsn"], bounds["to_lsn"]
-    columns = [*table.columns, IS_DELETED]
     if from_lsn is None or to_lsn is None:
         return full_load(table).where(F.lit(False))
     try:
-        return net_changes(log, from_lsn, to_lsn).select(*(F.col(quote(c)) for c in columns))
+        return net_changes(log, from_lsn, to_lsn, table.columns)
     except LsnRangeError:
         if not full_load_fallback:
             raise

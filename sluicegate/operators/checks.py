@@ -12,8 +12,11 @@ from ..functions.types import quote
 BAD_RECORD = "__bad_record"
 
 
-def observed(df: DataFrame, column: str | None = None) -> tuple[DataFrame, Observation]:
-    """``df`` that reports its row count, and highest watermark and NULL watermarks, as it is written.
+def observed(
+    df: DataFrame, column: str | None = None, keys: list[str] | None = None
+) -> tuple[DataFrame, Observation]:
+    """``df`` that reports its row count, highest watermark, NULL watermarks and NULL keys as it is
+    written.
 
     It is to stand directly before the write: in the last stage a task that runs again is still
     counted once.
@@ -23,6 +26,9 @@ def observed(df: DataFrame, column: str | None = None) -> tuple[DataFrame, Obser
     if column:
         value = F.col(quote(column))
         measures += [F.max(value).alias("watermark"), F.count(F.when(value.isNull(), 1)).alias("null_watermarks")]
+    if keys:
+        keyless = reduce(or_, (F.col(quote(k)).isNull() for k in keys))
+        measures.append(F.count(F.when(keyless, 1)).alias("null_keys"))
     return df.observe(seen, *measures), seen
 
 

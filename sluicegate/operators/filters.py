@@ -17,8 +17,8 @@ def like_any_case(value: Column, pattern: str) -> Column:
 
 def keep_listed(df: DataFrame, listed: DataFrame, on: list[str]) -> DataFrame:
     """Rows whose key combination is listed. Whole combinations are matched, so a schema of one
-    entry never pairs with the table of another."""
-    return df.join(listed.select(*on), on=on, how="left_semi")
+    entry never pairs with the table of another; each is kept once before it moves."""
+    return df.join(listed.select(*on).distinct(), on=on, how="left_semi")
 
 
 def matching_rows(df: DataFrame, rows: DataFrame) -> DataFrame:

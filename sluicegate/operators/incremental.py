@@ -137,7 +137,7 @@ def _before(df: DataFrame, order: list[str], cut: list) -> Column:
             earlier = column.isNull() & earlier
         else:
             earlier = column.isNull() | (column < bound) | ((column == bound) & earlier)
-    return F.coalesce(earlier, F.lit(False))
+    return earlier
 
 
 def watermark_max(df: DataFrame, column: str) -> DataFrame:
@@ -177,7 +177,10 @@ def check_progress(previous: str | None, new: str | None, rows: int, limit: int
 
 def newest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the last in ``order``. Every task first drops all but its own last row of a
-    key, so a key with very many rows sends one row per task."""
-    payload = F.struct(*(F.col(quote(c)) for c in df.columns))
+    key, so a key with very many rows sends one row per task. The key columns stay the ones that
+    were grouped by, so a join by the same key does not move the rows again."""
+    rest = [c for c in df.columns if c not in keys]
     rank = F.struct(*(F.col(quote(c)) for c in order))
-    return df.groupBy(*(F.col(quote(k)) for k in keys)).agg(F.max_by(payload, rank).alias("__row")).select("__row.*")
+    image = F.struct(*(F.col(quote(c)) for c in rest)) if rest else F.lit(1)
+    last = df.groupBy(*(F.col(quote(k)) for k in keys)).agg(F.max_by(image, rank).alias("__last"))
+    return last.select(*(F.col(quote(c)) if c in keys else F.col("__last").getField(c).alias(c) for c in df.columns))

@@ -12,6 +12,7 @@ from ..functions.types import (
     base_type,
     quote,
     source_type,
+    takes_null,
 )
 
 
@@ -46,7 +47,7 @@ def _selective(field: T.StructField) -> Column:
     base = base_type(kind)
     if base == "STRING":
         shown = text.rowversion_hex(value) if isinstance(field.dataType, T.BinaryType) else value.cast("string")
-        return text.enclose(text.null_to_empty(shown) if field.nullable else shown)
+        return text.enclose(text.null_to_empty(shown) if takes_null(field) else shown)
     if base == "TIMESTAMP":
         return _minute_grain(value) if kind == "smalldatetime" else text.timestamp_ms(value)
     if base == "BOOLEAN":
@@ -81,8 +82,9 @@ def clean_nul_fields(df: DataFrame) -> DataFrame:
     """Every text that is exactly one NUL character becomes empty."""
     return df.select(
         *(
-            (text.nul_cleanup(F.col(quote(f.name))) if isinstance(f.dataType, T.StringType) else F.col(quote(f.name)))
-            .alias(f.name)
+            text.nul_cleanup(F.col(quote(f.name))).alias(f.name, metadata=f.metadata)
+            if isinstance(f.dataType, T.StringType)
+            else F.col(quote(f.name))
             for f in df.schema.fields
         )
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import JobError
 from ..operators import cdc, checks, incremental
-from ..operators.project import select_columns, with_safe_names
+from ..operators.project import clean_nul_fields, select_columns, with_safe_names
 from ..sinks.columnar import write_parquet
 from ..sinks.lines import MODES, write_lines
 from ..sinks.manifest import manifest, write_json
@@ -33,12 +33,13 @@ class JobResult:
     manifest_path: str
     state: State
     null_watermarks: int = 0
+    null_keys: int = 0
 
 
 def plan(spec: JobSpec, source, state: State) -> DataFrame:
     """The rows of one run, lazily."""
     if spec.query:
-        return select_columns(source.query(spec.query, timeout_s=spec.timeout_s), spec.columns)
+        return clean_nul_fields(select_columns(source.query(spec.query, timeout_s=spec.timeout_s), spec.columns))
     table = source.table(spec.schema, spec.table, read_uncommitted=spec.read_uncommitted, timeout_s=spec.timeout_s)
     if spec.cdc:
         return _plan_changes(spec, source, table, state)
@@ -104,7 +105,9 @@ def run_job(
         state = read_state(spark, f"{base}/state")
         run = state.run + 1
         before = _state_before(spec, source)
-        rows, seen = checks.observed(plan(spec, source, state), _shown_watermark(spec))
+        planned = plan(spec, source, state)
+        key = [k for k in spec.primary_key if k in planned.columns]
+        rows, seen = checks.observed(planned, _shown_watermark(spec), key)
         data_path = f"{base}/data/run={run}"
         if format == "parquet":
             write_parquet(with_safe_names(rows), data_path)
@@ -115,17 +118,23 @@ def run_job(
         new = _state_after(spec, source, state, before, measured, run)
         if spec.watermark:
             incremental.check_progress(state.last_fetched_row, new.last_fetched_row, count, spec.limit)
-        about = None if spec.query else {"name": spec.table, "schema": spec.schema}
-        document = manifest(
-            rows.schema, spec.output, spec.incremental, spec.primary_key, about, native_types
-        )
+        if measured.get("null_keys"):
+            log.warning('%d rows of "%s" have a NULL in their primary key.', measured["null_keys"], spec.output)
+        about = None if spec.query else source.about(spec.schema, spec.table)
+        document = manifest(rows.schema, spec.output, spec.incremental, spec.primary_key, about, native_types)
         write_json(spark, document, f"{base}/manifest/run={run}")
         if count == 0:
             log.warning('Query result set is empty. Exported "0" rows to "%s".', spec.output)
         append_state(spark, f"{base}/state", new, count)
     kept = data_path if count or spec.query else None
     return JobResult(
-        spec.output, count, kept, f"{base}/manifest/run={run}", new, measured.get("null_watermarks") or 0
+        spec.output,
+        count,
+        kept,
+        f"{base}/manifest/run={run}",
+        new,
+        measured.get("null_watermarks") or 0,
+        measured.get("null_keys") or 0,
     )
 
 

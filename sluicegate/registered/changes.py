@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.types import quote
 from ..operators import cdc, incremental, merge
 from ..session import scratch_dir
 from ..streaming import pull
@@ -140,4 +139,4 @@ def stream_cdc(spark, sf_dir):
     op = F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "signup", 2).otherwise(4)
     changes = stream.select(F.col("event_id").alias("lsn"), "ts", "user_id", "value", "event_type", op.alias("op"))
     pull.apply_changes(changes, log, f"{out}/kept", f"{out}/checkpoint").awaitTermination()
-    return pull.current_rows(spark.read.parquet(f"{out}/kept").select(*(quote(c) for c in pull.kept_columns(log))), log)
+    return pull.current_rows(spark.read.parquet(f"{out}/kept"), log)

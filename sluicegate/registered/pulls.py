@@ -81,13 +81,13 @@ def topn_with_state(spark, sf_dir):
 
 @registered("""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate FROM lineitem
-ORDER BY l_shipdate ASC NULLS FIRST, l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT 4000
+ORDER BY l_shipdate ASC NULLS FIRST, l_orderkey, l_partkey, l_suppkey, l_linenumber LIMIT 20000
 """)
 def topn_large_limit(spark, sf_dir):
     """A limit above the heap's size, which is answered by a filter and not by one task."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")
     order = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-    return incremental.first_rows(lines, "l_shipdate", 4000, order, heap_rows=1000)
+    return incremental.first_rows(lines, "l_shipdate", 20_000, order, heap_rows=10_000)
 
 
 @registered("SELECT max(o_orderdate) AS watermark FROM orders")
@@ -145,7 +145,7 @@ WHERE (l_partkey, l_suppkey) IN (SELECT (l_partkey, l_suppkey) FROM lineitem WHE
 """)
 def whitelist(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_quantity")
-    return filters.keep_listed(lines, lines.where("l_quantity = 50").distinct(), ["l_partkey", "l_suppkey"])
+    return filters.keep_listed(lines, lines.where("l_quantity = 50"), ["l_partkey", "l_suppkey"])
 
 
 @registered("""

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import text
-from ..functions.types import base_type, source_type
+from ..functions.types import base_type, source_type, takes_null
 
 
 def _columns(schema: T.StructType, primary_key: list[str]) -> list[dict]:
@@ -16,7 +16,7 @@ def _columns(schema: T.StructType, primary_key: list[str]) -> list[dict]:
         {
             "source_name": f.name,
             "name": name,
-            "nullable": f.nullable and f.name not in primary_key,
+            "nullable": takes_null(f) and f.name not in primary_key,
             "base_type": base_type(source_type(f)),
             "default": (f.metadata or {}).get("default"),
             "unique_key": bool((f.metadata or {}).get("unique_key", False)),

@@ -63,6 +63,15 @@ def load_table_split(
     )
 
 
+def load_table_ranges(
+    spark: SparkSession, options: dict[str, str], schema: str | None, name: str, column: str, bounds: list
+) -> DataFrame:
+    """A table read in parallel by given ranges, for columns whose values are spread unevenly."""
+    properties = {k: v for k, v in options.items() if k != "url"}
+    predicates = range_predicates(column, bounds)
+    return spark.read.jdbc(options["url"], sql_name(schema, name), predicates=predicates, properties=properties)
+
+
 def change_log(spark: SparkSession, options: dict[str, str], schema: str, name: str, keys: list[str]) -> ChangeLog:
     """Change table of a tracked table, with commit times out of the server's position list."""
     times = load_table(spark, options, "cdc", "lsn_time_mapping").select(
@@ -157,13 +166,14 @@ def catalog_snapshot(spark: SparkSession, options: dict[str, str]) -> Snapshot:
 
 
 def with_catalog_types(df: DataFrame, listing: list[Row]) -> DataFrame:
-    """``df`` whose fields carry type names and defaults of one table's column listing."""
+    """``df`` whose fields carry what one table's column profile says: type names, NULLs, defaults."""
     known = {row["column"]: row for row in listing}
     shown = []
     for field in df.schema.fields:
         row = known.get(field.name)
         metadata = dict(field.metadata or {})
         if row is not None:
-            metadata.update({SOURCE_TYPE: row["type"], "default": row["default"], "ordinal": row["ordinal"]})
-        shown.append(F.col(quote(field.name)).alias(field.name, metadata={k: v for k, v in metadata.items() if v is not None}))
+            metadata.update({SOURCE_TYPE: row["type"], **{k: row[k] for k in ("nullable", "default", "unique_key", "ordinal")}})
+        kept = {k: v for k, v in metadata.items() if v is not None}
+        shown.append(F.col(quote(field.name)).alias(field.name, metadata=kept))
     return df.select(*shown)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import JobError
 from ..functions.types import quote
+from ..operators import catalog
 from ..operators.cdc import ChangeLog
 from ..operators.project import select_columns
 from . import jdbc
@@ -38,6 +39,9 @@ class FolderSource:
     def query(self, sql: str, **_) -> DataFrame:
         return run_query(self.spark, sql)
 
+    def about(self, schema: str | None, name: str) -> dict:
+        return {"name": name, "schema": schema}
+
     def changes(self, schema: str | None, name: str, keys: list[str]) -> ChangeLog:
         return ChangeLog(self.table(schema, f"{name}_changes"), keys)
 
@@ -58,21 +62,50 @@ class CatalogSource:
     def query(self, sql: str, **_) -> DataFrame:
         return run_query(self.spark, sql)
 
+    def about(self, schema: str | None, name: str) -> dict:
+        kind = self.spark.catalog.getTable(self._name(schema, name)).tableType
+        return {"name": name, "schema": schema, "type": "VIEW" if kind in ("VIEW", "TEMPORARY") else "BASE TABLE"}
+
     def changes(self, schema: str | None, name: str, keys: list[str]) -> ChangeLog:
         return ChangeLog(self.spark.table(self._name(schema, f"{name}_changes")), keys)
 
 
 @dataclass
 class JdbcSource:
-    """A database. It goes on changing while it is read, so the state is taken before the scan."""
+    """A database. It goes on changing while it is read, so the state is taken before the scan.
+
+    ``splits`` names, by table, the column and the number of ranges a table is read in; a table that is
+    not named is read by one task. Type names and keys come from the database's own catalog.
+    """
 
     spark: SparkSession
     options: dict[str, str]
+    splits: dict[str, tuple[str, int]] = field(default_factory=dict)
     live: bool = True
+    _snapshot: catalog.Snapshot | None = None
+
+    @property
+    def snapshot(self) -> catalog.Snapshot:
+        if self._snapshot is None:
+            self._snapshot = jdbc.catalog_snapshot(self.spark, self.options)
+        return self._snapshot
+
+    def _only(self, schema: str | None, name: str) -> DataFrame:
+        return self.spark.createDataFrame([(schema, name)], "schema string, table string")
+
+    def about(self, schema: str | None, name: str) -> dict:
+        row = catalog.list_tables(self.snapshot, self._only(schema, name)).first()
+        known = {"catalog": row["catalog"], "type": row["type"]} if row else {}
+        return {"name": name, "schema": schema, **known}
 
     def table(self, schema: str | None, name: str, read_uncommitted: bool = False, timeout_s: int | None = None):
         options = jdbc.read_options(self.options, read_uncommitted, timeout_s)
-        return jdbc.load_table(self.spark, options, schema, name)
+        if name in self.splits:
+            df = jdbc.load_table_split(self.spark, options, schema, name, *self.splits[name])
+        else:
+            df = jdbc.load_table(self.spark, options, schema, name)
+        columns = catalog.list_columns_with_constraints(self.snapshot, self._only(schema, name))
+        return jdbc.with_catalog_types(df, catalog.profile(columns).collect())
 
     def query(self, sql: str, timeout_s: int | None = None, **_) -> DataFrame:
         options = jdbc.read_options(self.options, False, timeout_s)

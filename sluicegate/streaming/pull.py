@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.types import quote
 from ..operators.cdc import BEFORE_UPDATE, DELETE, IS_DELETED, ChangeLog
+from ..operators.incremental import newest_per_key
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None):
@@ -50,23 +51,14 @@ def net_of_batch(log: ChangeLog) -> DataFrame:
     """Last image per key with its position and delete flag. Unlike in a closed range, a key that was
     inserted and deleted stays as a deleted one: another batch may hold older changes of it."""
     op = F.col(quote(log.op))
-    image = F.struct(*(F.col(quote(c)) for c in [*log.payload, log.lsn, *log.sequence, log.op]))
-    rank = F.struct(*(F.col(quote(c)) for c in [log.lsn, *log.sequence]))
-    last = log.df.where(op != BEFORE_UPDATE).groupBy(*(F.col(quote(k)) for k in log.keys)).agg(
-        F.max_by(image, rank).alias("__last")
-    )
-    shown = [F.col("__last").getField(c).alias(c) for c in [*log.payload, log.lsn, *log.sequence]]
-    return last.select(*shown, F.when(F.col("__last").getField(log.op) == DELETE, 1).otherwise(0).alias(IS_DELETED))
+    flagged = log.df.where(op != BEFORE_UPDATE).withColumn(IS_DELETED, F.when(op == DELETE, 1).otherwise(0))
+    return latest_images(flagged, log)
 
 
 def latest_images(kept: DataFrame, log: ChangeLog) -> DataFrame:
-    """Newest kept image per key, deleted keys included."""
-    columns = [*log.payload, log.lsn, *log.sequence, IS_DELETED]
-    image = F.struct(*(F.col(quote(c)) for c in columns))
-    rank = F.struct(*(F.col(quote(c)) for c in [log.lsn, *log.sequence]))
-    return (
-        kept.groupBy(*(F.col(quote(k)) for k in log.keys)).agg(F.max_by(image, rank).alias("__last")).select("__last.*")
-    )
+    """Newest image per key, deleted keys included."""
+    images = kept.select(*(F.col(quote(c)) for c in kept_columns(log)))
+    return newest_per_key(images, log.keys, [log.lsn, *log.sequence])
 
 
 def current_rows(kept: DataFrame, log: ChangeLog, base: DataFrame | None = None) -> DataFrame:

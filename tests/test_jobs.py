@@ -154,6 +154,22 @@ def test_query_job(spark, folder):
     assert empty.rows == 0 and empty.data_path is not None
 
 
+def test_query_output_has_no_lone_nul_and_null_keys_are_counted(spark, folder, caplog):
+    source, out = folder
+    sql = "SELECT * FROM VALUES (1, char(0), 'a'), (2, 'b' || char(0), NULL) AS t(id, x, k)"
+    with caplog.at_level(logging.WARNING, "sluicegate"):
+        result = run_job(spark, JobSpec("z", query=sql, primary_key=["k"]), source, out)
+    assert result.null_keys == 1 and "1 rows" in caplog.text
+    assert {r.id: r.x for r in spark.read.parquet(result.data_path).collect()} == {1: "", 2: "b\0"}
+
+
+def test_manifest_of_a_view(spark, folder):
+    _, out = folder
+    fixtures.numbered(spark).createOrReplaceTempView("manifest_view")
+    result = run_job(spark, JobSpec("w", table="manifest_view"), CatalogSource(spark), out)
+    assert {"key": "type", "value": "VIEW"} in read_json(spark, result.manifest_path)["metadata"]
+
+
 def test_describe_query(spark):
     assert describe_query(spark, "SELECT 1 AS a, 'x' AS b;") == [("a", "int"), ("b", "string")]
     with pytest.raises(JobError):

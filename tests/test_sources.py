@@ -1,7 +1,10 @@
 from pyspark.sql import functions as F
 
+from sluicegate.functions.types import source_type, takes_null
+from sluicegate.sinks.manifest import manifest
 from sluicegate.sources import jdbc
-from sluicegate.sources.tables import FolderSource, scan
+from sluicegate.sources.tables import FolderSource, JdbcSource, scan
+from test_catalog import shop  # noqa: F401
 
 
 def test_read_options():
@@ -31,11 +34,50 @@ def test_range_predicates_take_every_row_once(spark):
         assert sorted(n for n in parts if n) == sorted(r["count"] for r in placed.collect())
 
 
-def test_catalog_types_reach_the_fields(spark):
-    listing = spark.createDataFrame([("a", "smalldatetime", "(NULL)", 2)], "column string, type string, default string, ordinal int")
-    df = jdbc.with_catalog_types(spark.createDataFrame([(1, 2)], "a int, b int"), listing.collect())
-    assert df.schema["a"].metadata == {"source_type": "smalldatetime", "default": "(NULL)", "ordinal": 2}
-    assert df.schema["b"].metadata == {}
+def test_database_tables_carry_their_catalog(spark, shop, monkeypatch):
+    """The reads are stood in for; no database is involved."""
+    stored = spark.createDataFrame([(1, None, "x")], "id int, name string, kind string")
+    asked = []
+    monkeypatch.setattr(jdbc, "load_table", lambda _spark, options, schema, name: asked.append(options) or stored)
+    monkeypatch.setattr(jdbc, "catalog_snapshot", lambda *_: shop)
+    source = JdbcSource(spark, {"url": "jdbc:x"})
+    df = source.table("dbo", "sales", read_uncommitted=True)
+    assert asked[0]["sessionInitStatement"] == jdbc.READ_UNCOMMITTED
+    assert df.schema["id"].metadata == {
+        "source_type": "int", "nullable": False, "default": "7", "unique_key": False, "ordinal": 1,
+    }
+    assert [takes_null(f) for f in df.schema.fields] == [False, True, True]
+    assert source_type(df.schema["kind"]) == "user_defined_type"
+    made = manifest(df.schema, "out", table=source.about("dbo", "sales"))
+    assert {"key": "catalog", "value": "test"} in made["metadata"]
+    assert made["column_metadata"]["name"][4] == {"key": "uniqueKey", "value": True}
+
+
+def test_split_reads(spark, monkeypatch):
+    calls = []
+
+    class Reader:
+        def format(self, _):
+            return self
+
+        def options(self, **options):
+            calls.append(options)
+            return self
+
+        def option(self, key, value):
+            calls.append({key: value})
+            return self
+
+        def load(self):
+            return spark.createDataFrame([(3, 90)], "low int, high int")
+
+    class Session:
+        read = Reader()
+
+    jdbc.load_table_split(Session(), {"url": "jdbc:x"}, "dbo", "t", "id", 4)
+    assert {"query": 'SELECT MIN("id") AS low, MAX("id") AS high FROM "dbo"."t"'} in calls
+    split = next(c for c in calls if "partitionColumn" in c)
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ('"id"', "3", "90", "4")
 
 
 def test_folder_with_schemas_and_formats(spark, tmp_path):
