@@ -63,8 +63,9 @@ def first_rows(
     """The ``n`` rows with the lowest watermarks, NULLs first, ties in ``tie_break`` order.
 
     A small limit is a top-k: each task keeps ``n`` rows and one task merges them. A large one would
-    pass the whole batch through that task, so the n-th order key is found first, on the order
-    columns alone, and the batch becomes a filter that every task answers for itself.
+    pass the whole batch through that task, so the n-th order key is found first, and the batch becomes
+    a filter that every task answers for itself. Two passes over the watermark leave a narrow band
+    that holds the n-th row; only the order columns of that band are moved to find its key.
     """
     watermark_field(df, column)
     order = [column, *(c for c in tie_break or [] if c != column)]
@@ -74,8 +75,9 @@ def first_rows(
         order.append(_ROW_HASH)
         df = df.withColumn(_ROW_HASH, F.xxhash64(*(F.col(quote(c)) for c in df.columns)))
     ensure_checkpoint_dir(df.sparkSession)
-    keys = df.groupBy(*(F.col(quote(c)) for c in order)).agg(F.count(F.lit(1)).alias(_COPIES))
-    cut, copies = _cut(keys, order, n, heap_rows)
+    band, rows_before = _band(df, column, n)
+    keys = df.where(band).groupBy(*(F.col(quote(c)) for c in order)).agg(F.count(F.lit(1)).alias(_COPIES))
+    cut, copies = _cut(keys, order, n - rows_before, heap_rows)
     if cut is None:
         batch = df
     else:
@@ -87,6 +89,42 @@ def first_rows(
 _ROW_HASH, _COPIES, _PART = "__row_hash", "__copies", "__part"
 
 
+#: Steps of the watermark's distribution that a large limit looks up.
+_STEPS = 1000
+
+_MEASURED_TYPES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _band(df: DataFrame, column: str, n: int) -> tuple[Column, int]:
+    """Watermarks among which the n-th row is, and how many rows come before them.
+
+    An approximate distribution proposes the band and an exact count confirms it; without either the
+    band is everything.
+    """
+    value, everything = F.col(quote(column)), (F.lit(True), 0)
+    if not isinstance(df.schema[column].dataType, _MEASURED_TYPES):
+        return everything
+    steps = [i / _STEPS for i in range(_STEPS + 1)]
+    seen = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(value).alias("filled"),
+        F.percentile_approx(value, steps, 20 * _STEPS).alias("marks"),
+    ).first()
+    nulls = seen["rows"] - seen["filled"]
+    if n <= nulls:
+        return value.isNull(), 0
+    if n >= seen["rows"]:
+        return everything
+    place = int((n - nulls) / seen["filled"] * _STEPS)
+    low, high = seen["marks"][max(place - 1, 0)], seen["marks"][min(place + 2, _STEPS)]
+    inside = value.between(_cut_literal(df, column, low), _cut_literal(df, column, high))
+    counts = df.agg(
+        F.count(F.when(value < _cut_literal(df, column, low), 1)).alias("before"), F.count(F.when(inside, 1)).alias("inside")
+    ).first()
+    before = nulls + counts["before"]
+    return (inside, before) if before < n <= before + counts["inside"] else everything
+
+
 def _ascending(names: list[str]) -> list[Column]:
     return [F.col(quote(c)).asc_nulls_first() for c in names]
 
