@@ -29,21 +29,35 @@ def null_to_empty(value: Column) -> Column:
     return F.coalesce(value, F.lit(""))
 
 
+def timestamp_digits(value: Column, digits: int) -> Column:
+    """Wall time with ``digits`` decimals of a second, cut and not rounded.
+
+    The time is cast and its text is cut. Formatting functions would first turn a time without a zone
+    into one of the session's zone, and so move times that a change of clocks skips.
+    """
+    shown = value.cast("string")
+    whole = F.substring_index(shown, ".", 1)
+    if digits == 0:
+        return whole
+    decimals = F.when(F.contains(shown, F.lit(".")), F.substring_index(shown, ".", -1)).otherwise("")
+    return F.concat(whole, F.lit("."), F.rpad(decimals, digits, "0"))
+
+
 def timestamp_ms(value: Column) -> Column:
-    """Wall time rounded to milliseconds. The half step is added before the text is cut, which is
-    right for both timestamp types and for times before 1970."""
-    return F.date_format(value + F.expr(_HALF_MILLISECOND), "yyyy-MM-dd HH:mm:ss.SSS")
+    """Wall time rounded to milliseconds: half a step is added before the text is cut, which is right
+    for both timestamp types and for times before 1970."""
+    return timestamp_digits(value + F.expr(_HALF_MILLISECOND), 3)
 
 
 def timestamp_minute(value: Column) -> Column:
     """Wall time rounded to the minute."""
-    return F.date_format(F.date_trunc("MINUTE", value + F.expr(_HALF_MINUTE)), "yyyy-MM-dd HH:mm:ss")
+    return F.concat(F.substring_index((value + F.expr(_HALF_MINUTE)).cast("string"), ":", 2), F.lit(":00"))
 
 
-def timestamp_digits(value: Column, digits: int) -> Column:
-    """Wall time with ``digits`` decimals of a second, cut and not rounded."""
-    pattern = "yyyy-MM-dd HH:mm:ss" + ("." + "S" * min(digits, 6) if digits else "")
-    return F.date_format(value, pattern)
+def minute_start(value: Column) -> Column:
+    """The minute a time falls into, as a time of the same type."""
+    zero = F.lit(0)
+    return value - F.make_dt_interval(zero, zero, zero, F.extract(F.lit("SECOND"), value))
 
 
 def nul_cleanup(value: Column) -> Column:

@@ -55,17 +55,18 @@ def _listed(df: DataFrame, whitelist: DataFrame | None) -> DataFrame:
     return df if whitelist is None else keep_listed(df, whitelist, TABLE)
 
 
-def list_tables(snapshot: Snapshot, whitelist: DataFrame | None = None) -> DataFrame:
-    """Readable tables with type and change-capture flag; no column is looked at."""
+def _tables(snapshot: Snapshot, whitelist: DataFrame | None) -> DataFrame:
     tables = _listed(snapshot.tables, whitelist).join(snapshot.readable(), TABLE)
     flagged = tables.join(snapshot.cdc_tables, TABLE, "left")
-    return flagged.select(
-        "catalog", *TABLE, "type", F.coalesce(F.col("is_tracked"), F.lit(False)).alias("cdc_enabled")
-    ).orderBy(*TABLE)
+    return flagged.select("catalog", *TABLE, "type", F.coalesce(F.col("is_tracked"), F.lit(False)).alias("cdc_enabled"))
 
 
-def list_columns(snapshot: Snapshot) -> DataFrame:
-    """All columns of all readable tables, with the primary key found by index."""
+def list_tables(snapshot: Snapshot, whitelist: DataFrame | None = None) -> DataFrame:
+    """Readable tables with type and change-capture flag; no column is looked at."""
+    return _tables(snapshot, whitelist).orderBy(*TABLE)
+
+
+def _columns(snapshot: Snapshot) -> DataFrame:
     keys = (
         snapshot.indexes.where("is_primary")
         .join(snapshot.index_columns, [*TABLE, "index_id"])
@@ -75,7 +76,12 @@ def list_columns(snapshot: Snapshot) -> DataFrame:
     columns = snapshot.columns.join(snapshot.readable(), TABLE, "left_semi").join(keys, [*TABLE, "ordinal"], "left")
     return columns.select(
         *COLUMN, "ordinal", "data_type", "nullable", "precision", "scale", "char_length", "is_identity", "pk_name"
-    ).orderBy(*TABLE, "ordinal")
+    )
+
+
+def list_columns(snapshot: Snapshot) -> DataFrame:
+    """All columns of all readable tables, with the primary key found by index."""
+    return _columns(snapshot).orderBy(*TABLE, "ordinal")
 
 
 def column_constraints(snapshot: Snapshot, whitelist: DataFrame | None = None) -> DataFrame:
@@ -155,8 +161,8 @@ def profile(columns: DataFrame) -> DataFrame:
     )
 
 
-def nested(tables: DataFrame, columns: DataFrame) -> DataFrame:
-    """One row per table with its columns as a JSON array in table order.
+def nested(snapshot: Snapshot, whitelist: DataFrame | None = None) -> DataFrame:
+    """One row per readable table with its columns as a JSON array in table order.
 
     The array holds one entry per column of a table, which a server limits (to 1,024, or 30,000 for
     wide tables), so a group cannot grow with the data.
@@ -167,7 +173,7 @@ def nested(tables: DataFrame, columns: DataFrame) -> DataFrame:
         F.coalesce(F.col("data_type"), F.lit("USER_DEFINED_TYPE")).alias("type"),
         F.col("pk_name").isNotNull().alias("primaryKey"),
     )
-    arrays = columns.groupBy(*TABLE).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    arrays = _listed(_columns(snapshot), whitelist).groupBy(*TABLE).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     shown = F.transform("entries", lambda e: e.dropFields("ordinal"))
-    listing = tables.join(arrays, TABLE, "left").orderBy(*TABLE)
+    listing = _tables(snapshot, whitelist).join(arrays, TABLE, "left").orderBy(*TABLE)
     return listing.select(*TABLE, "cdc_enabled", F.to_json(shown).alias("columns"))

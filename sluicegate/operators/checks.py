@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from ..functions.types import quote
+from .incremental import state_text
 
 BAD_RECORD = "__bad_record"
 
@@ -25,7 +26,10 @@ def observed(
     measures = [F.count(F.lit(1)).alias("rows")]
     if column:
         value = F.col(quote(column))
-        measures += [F.max(value).alias("watermark"), F.count(F.when(value.isNull(), 1)).alias("null_watermarks")]
+        measures += [
+            state_text(df.schema[column], F.max(value)).alias("watermark"),
+            F.count(F.when(value.isNull(), 1)).alias("null_watermarks"),
+        ]
     if keys:
         keyless = reduce(or_, (F.col(quote(k)).isNull() for k in keys))
         measures.append(F.count(F.when(keyless, 1)).alias("null_keys"))

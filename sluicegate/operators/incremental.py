@@ -34,18 +34,10 @@ def state_literal(field: T.StructField, state: str) -> Column:
     return F.lit(state).cast(field.dataType)
 
 
-def state_text(value) -> str | None:
-    """A watermark value as state text; ``state_literal`` reads it back."""
-    if value is None:
-        return None
-    if isinstance(value, (bytes, bytearray)):
-        return "0x" + bytes(value).hex().upper()
-    if isinstance(value, dt.datetime):
-        whole = value.strftime("%Y-%m-%d %H:%M:%S")
-        return f"{whole}.{value.microsecond:06d}".rstrip("0") if value.microsecond else whole
-    if isinstance(value, Decimal):
-        return format(value, "f")
-    return str(value)
+def state_text(field: T.StructField, value: Column) -> Column:
+    """A watermark as state text; ``state_literal`` reads it back. Spark makes the text, so that a time
+    does not pass through the driver's own zone."""
+    return text.rowversion_hex(value) if isinstance(field.dataType, T.BinaryType) else value.cast("string")
 
 
 def since(df: DataFrame, column: str, state: str | None) -> DataFrame:
@@ -186,22 +178,20 @@ def watermark_max(df: DataFrame, column: str) -> DataFrame:
     return df.agg(shown.alias("watermark"))
 
 
-def next_state(df: DataFrame, column: str, previous: str | None, highest) -> str | None:
+def next_state(field: T.StructField, previous: str | None, highest: str | None) -> str | None:
     """State after a pull: the highest value seen, but never less than before."""
-    field = watermark_field(df, column)
     if highest is None or previous is None:
-        return previous if highest is None else state_text(highest)
+        return previous if highest is None else highest
+    return previous if _state_value(field, highest) < _state_value(field, previous) else highest
+
+
+def _state_value(field: T.StructField, state: str):
+    """State text as a value that compares like the column."""
     if isinstance(field.dataType, T.BinaryType):
-        old = bytes.fromhex(previous[2:].rjust(16, "0"))
-    elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        old = dt.datetime.fromisoformat(previous)
-    elif isinstance(field.dataType, T.DateType):
-        old = dt.date.fromisoformat(previous)
-    elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        old = float(previous)
-    else:
-        old = Decimal(previous)
-    return previous if highest < old else state_text(highest)
+        return int(state, 16)
+    if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return dt.datetime.fromisoformat(state)
+    return Decimal(state)
 
 
 def check_progress(previous: str | None, new: str | None, rows: int, limit: int | None) -> None:

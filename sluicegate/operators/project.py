@@ -49,16 +49,12 @@ def _selective(field: T.StructField) -> Column:
         shown = text.rowversion_hex(value) if isinstance(field.dataType, T.BinaryType) else value.cast("string")
         return text.enclose(text.null_to_empty(shown) if takes_null(field) else shown)
     if base == "TIMESTAMP":
-        return _minute_grain(value) if kind == "smalldatetime" else text.timestamp_ms(value)
+        return text.timestamp_digits(value, 0) if kind == "smalldatetime" else text.timestamp_ms(value)
     if base == "BOOLEAN":
         return value.cast("int")
     return value
 
 
-def _minute_grain(value: Column) -> Column:
-    return text.timestamp_digits(value, 0)
-
-
 def project_selective(df: DataFrame) -> DataFrame:
     """Strings enclosed (NULL as an empty one where NULL is possible), wall times as text in
     milliseconds, row versions as hex; numbers keep their type."""

@@ -13,6 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..errors import JobError
+from ..functions.types import quote
 from ..operators import cdc, checks, incremental
 from ..operators.project import clean_nul_fields, select_columns, with_safe_names
 from ..sinks.columnar import write_parquet
@@ -143,27 +144,28 @@ def _shown_watermark(spec: JobSpec) -> str | None:
     return spec.watermark if spec.watermark and (not spec.columns or spec.watermark in spec.columns) else None
 
 
-def _state_before(spec: JobSpec, source):
+def _state_before(spec: JobSpec, source) -> str | None:
     """State values that are to be known before the scan starts."""
     if spec.cdc:
-        return cdc.commit_time(source.changes(spec.schema, spec.table, spec.primary_key)).first()[0]
+        position = cdc.commit_time(source.changes(spec.schema, spec.table, spec.primary_key))
+        return position.select(F.col("last_fetched_time").cast("string")).first()[0]
     if spec.watermark and not spec.limit and (source.live or not _shown_watermark(spec)):
         table = source.table(spec.schema, spec.table)
-        incremental.watermark_field(table, spec.watermark)
-        return table.agg(F.max(f"`{spec.watermark}`")).first()[0]
+        field = incremental.watermark_field(table, spec.watermark)
+        return table.agg(incremental.state_text(field, F.max(F.col(quote(spec.watermark))))).first()[0]
     return None
 
 
-def _state_after(spec: JobSpec, source, state: State, before, measured: dict, run: int) -> State:
+def _state_after(spec: JobSpec, source, state: State, before: str | None, measured: dict, run: int) -> State:
     if spec.cdc:
-        return replace(state, run=run, last_fetched_time=incremental.state_text(before) or state.last_fetched_time)
+        return replace(state, run=run, last_fetched_time=before or state.last_fetched_time)
     if not spec.watermark:
         return replace(state, run=run)
     if spec.limit and not _shown_watermark(spec):
         raise JobError("A limited pull must output its watermark column.")
     highest = before if before is not None else measured.get("watermark")
-    table = source.table(spec.schema, spec.table)
-    new = incremental.next_state(table, spec.watermark, state.last_fetched_row, highest)
+    field = incremental.watermark_field(source.table(spec.schema, spec.table), spec.watermark)
+    new = incremental.next_state(field, state.last_fetched_row, highest)
     return replace(state, run=run, last_fetched_row=new)
 
 

@@ -197,5 +197,4 @@ SELECT r."schema", r."table", (status <> 'P' AND o_custkey % 2 = 0) AS cdc_enabl
 FROM readable r LEFT JOIN arrays a ON a.k = r.k
 """)
 def catalog_nested(spark, sf_dir):
-    shot = snapshot(spark, sf_dir)
-    return catalog.nested(catalog.list_tables(shot), catalog.list_columns(shot))
+    return catalog.nested(snapshot(spark, sf_dir))

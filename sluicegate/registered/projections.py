@@ -54,8 +54,8 @@ def typed_events(spark, sf_dir):
         text.rowversion_bytes(F.col("event_id")).alias("version"),
         F.nullif(F.col("event_type"), F.lit("view")).alias("kind"),
         "props",
-        F.nullif(F.col("ts"), F.date_trunc("MINUTE", "ts")).alias("ts"),
-        F.date_trunc("MINUTE", "ts").alias("minute"),
+        "ts",
+        text.minute_start(F.col("ts")).alias("minute"),
         money("value").alias("amount"),
         (F.col("event_type") == "error").alias("failed"),
     )

@@ -55,7 +55,7 @@ SELECT event_id, date_trunc('minute', ts) AS minute FROM events
 WHERE date_trunc('minute', ts) >= TIMESTAMP '2024-01-10 10:25:00'
 """)
 def incr_minute(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("event_id", F.date_trunc("MINUTE", "ts").alias("minute"))
+    events = table(spark, sf_dir, "events").select("event_id", text.minute_start(F.col("ts")).alias("minute"))
     typed = types.with_source_types(events, {"minute": "smalldatetime"})
     return incremental.since(typed, "minute", "2024-01-10 10:25:00")
 

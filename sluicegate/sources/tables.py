@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..errors import JobError
 from ..functions.types import quote
@@ -83,6 +83,7 @@ class JdbcSource:
     splits: dict[str, tuple[str, int]] = field(default_factory=dict)
     live: bool = True
     _snapshot: catalog.Snapshot | None = None
+    _profiles: dict = field(default_factory=dict)
 
     @property
     def snapshot(self) -> catalog.Snapshot:
@@ -93,6 +94,13 @@ class JdbcSource:
     def _only(self, schema: str | None, name: str) -> DataFrame:
         return self.spark.createDataFrame([(schema, name)], "schema string, table string")
 
+    def _profile(self, schema: str | None, name: str) -> list[Row]:
+        """Column profile of one table; it is asked for once per job."""
+        if (schema, name) not in self._profiles:
+            columns = catalog.list_columns_with_constraints(self.snapshot, self._only(schema, name))
+            self._profiles[schema, name] = catalog.profile(columns).collect()
+        return self._profiles[schema, name]
+
     def about(self, schema: str | None, name: str) -> dict:
         row = catalog.list_tables(self.snapshot, self._only(schema, name)).first()
         known = {"catalog": row["catalog"], "type": row["type"]} if row else {}
@@ -104,8 +112,7 @@ class JdbcSource:
             df = jdbc.load_table_split(self.spark, options, schema, name, *self.splits[name])
         else:
             df = jdbc.load_table(self.spark, options, schema, name)
-        columns = catalog.list_columns_with_constraints(self.snapshot, self._only(schema, name))
-        return jdbc.with_catalog_types(df, catalog.profile(columns).collect())
+        return jdbc.with_catalog_types(df, self._profile(schema, name))
 
     def query(self, sql: str, timeout_s: int | None = None, **_) -> DataFrame:
         options = jdbc.read_options(self.options, False, timeout_s)

@@ -100,7 +100,7 @@ def test_profile(spark, shop):
 
 
 def test_nested_listing(shop):
-    rows = {(r.schema, r.table): r for r in catalog.nested(catalog.list_tables(shop), catalog.list_columns(shop)).collect()}
+    rows = {(r.schema, r.table): r for r in catalog.nested(shop).collect()}
     sales = rows["dbo", "sales"]
     assert sales.cdc_enabled
     assert json.loads(sales.columns) == [
@@ -134,7 +134,7 @@ def test_many_tables_at_once(spark):
         key_usage=base.key_usage,
         references=base.references,
     )
-    rows = catalog.nested(catalog.list_tables(shot), catalog.list_columns(shot)).collect()
+    rows = catalog.nested(shot).collect()
     assert len(rows) == 500
     entries = json.loads(rows[0].columns)
     assert [e["name"] for e in entries] == [f"c{i}" for i in range(1, 52)]

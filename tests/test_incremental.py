@@ -1,6 +1,4 @@
-import datetime as dt
 import random
-from decimal import Decimal
 
 import fixtures
 import pytest
@@ -11,7 +9,7 @@ from sluicegate.operators import incremental
 
 
 def highest(df, column):
-    return incremental.state_text(df.agg(F.max(f"`{column}`")).first()[0])
+    return df.agg(incremental.state_text(df.schema[column], F.max(f"`{column}`"))).first()[0]
 
 
 @pytest.mark.parametrize(
@@ -55,24 +53,35 @@ def test_unfit_watermark_columns_are_told_apart(spark):
 
 
 @pytest.mark.parametrize(
-    "value, text",
-    [(7, "7"), (Decimal("6.60"), "6.60"), (dt.datetime(2021, 1, 5, 13, 43, 27, 123000), "2021-01-05 13:43:27.123"),
-     (dt.datetime(2012, 1, 10, 10, 25), "2012-01-10 10:25:00"), (dt.date(2020, 2, 1), "2020-02-01"),
-     (bytearray(b"\0\0\0\0\0\0\x07\xd1"), "0x00000000000007D1"), (None, None)],
+    "kind, stored, text",
+    [("int", "7", "7"), ("decimal(10,2)", "6.6", "6.60"), ("timestamp_ntz", "2021-01-05 13:43:27.123", None),
+     ("timestamp_ntz", "2012-01-10 10:25:00", None), ("timestamp", "2012-01-10 10:25:00.000001", None), ("date", "2020-02-01", None),
+     ("double", "12345678.5", "1.23456785E7")],
 )
-def test_state_text(value, text):
-    assert incremental.state_text(value) == text
+def test_state_text_and_back(spark, kind, stored, text):
+    df = spark.createDataFrame([(stored,)], "s string").select(F.col("s").cast(kind).alias("w"))
+    shown = df.select(incremental.state_text(df.schema["w"], F.col("w"))).first()[0]
+    assert shown == (text or stored)
+    assert incremental.since(df, "w", shown).count() == 1
+
+
+def test_state_text_of_row_versions(spark):
+    df = fixtures.versioned(spark)
+    assert highest(df, "timestamp") == "0x00000000000007D3"
 
 
 def test_state_never_moves_back(spark):
-    df = fixtures.numbered(spark)
-    assert incremental.next_state(df, "_Weir%d I-D", "9", 6) == "9"
-    assert incremental.next_state(df, "_Weir%d I-D", "5", 6) == "6"
-    assert incremental.next_state(df, "datetime", "2021-01-05 13:43:27.123", dt.datetime(2020, 1, 1)) == "2021-01-05 13:43:27.123"
-    assert incremental.next_state(df, "someDecimal", "10.00", Decimal("9.99")) == "10.00"
-    assert incremental.next_state(df, "someDecimal", None, None) is None
-    versions = fixtures.versioned(spark)
-    assert incremental.next_state(versions, "timestamp", "0x7D1", b"\0\0\0\0\0\0\x07\xd3") == "0x00000000000007D3"
+    fields = {f.name: f for f in fixtures.numbered(spark).schema.fields}
+    for column, low, high in (
+        ("_Weir%d I-D", "9", "10"), ("datetime", "2021-01-05 13:43:27", "2021-01-05 13:43:27.12"), ("someDecimal", "9.99", "10.00"),
+    ):
+        assert incremental.next_state(fields[column], high, low) == high
+        assert incremental.next_state(fields[column], low, high) == high
+        assert incremental.next_state(fields[column], None, low) == low
+        assert incremental.next_state(fields[column], low, None) == low
+    version = fixtures.versioned(spark).schema["timestamp"]
+    assert incremental.next_state(version, "0x7D1", "0x00000000000007D3") == "0x00000000000007D3"
+    assert incremental.next_state(version, "0x000000000000000", "0x0000000000000001") == "0x0000000000000001"
 
 
 def test_empty_table_has_no_watermark(spark):

@@ -30,6 +30,26 @@ def test_minutes_are_rounded(spark):
     assert one(spark, stamp("2012-01-10 10:00:30")) == "2012-01-10 10:01:00"
 
 
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Australia/Lord_Howe"])
+def test_wall_times_do_not_depend_on_the_zone(spark, zone):
+    """02:30 on that day does not exist in New York."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        for stored in ("2021-03-14 02:30:29.9996", "2021-10-03 02:15:45.5", "0001-01-01 00:00:01", "9999-12-31 23:59:58"):
+            value = F.lit(stored).cast("timestamp_ntz")
+            whole, _, decimals = stored.partition(".")
+            if decimals != "9996":
+                assert one(spark, text.timestamp_ms(value)) == f"{whole}.{decimals.ljust(3, '0')}"
+            else:
+                assert one(spark, text.timestamp_ms(value)) == "2021-03-14 02:30:30.000"
+            assert one(spark, text.timestamp_digits(value, 6)) == f"{whole}.{decimals.ljust(6, '0')}"
+            assert one(spark, text.minute_start(value).cast("string")) == whole[:-2] + "00"
+        assert one(spark, text.timestamp_minute(F.lit("2021-03-14 02:29:30").cast("timestamp_ntz"))) == "2021-03-14 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_rowversion_text(spark):
     assert one(spark, text.rowversion_hex(text.rowversion_bytes(F.lit(2001).cast("long")))) == "0x00000000000007D1"
 
