@@ -45,12 +45,15 @@ def record_schema(n_fields: int) -> T.StructType:
     return T.StructType([*fields, T.StructField(BAD_RECORD, T.StringType())])
 
 
-# CSV options under which a quoted empty field is '' and a bare one is NULL.
+# CSV options under which a quoted empty field is '' and a bare one is NULL. The text for
+# NULL is one that no field holds, as a field equal to it would be read as NULL.
 CSV_READ_OPTIONS = {
     "quote": '"',
     "escape": '"',
+    "charToEscapeQuoteEscaping": '"',
     "emptyValue": "",
-    "nullValue": "\u0001",
+    "nullValue": "\u0001no such text\u0001",
+    "lineSep": "\n",
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": BAD_RECORD,
     "ignoreLeadingWhiteSpace": "false",

@@ -1,6 +1,7 @@
 import csv
 import glob
 import json
+import random
 
 import fixtures
 import pytest
@@ -76,6 +77,22 @@ def test_special_characters_survive_files(spark, tmp_path):
             assert second["first\n\nsecond"] is None and second["unicode žščř"] == ""
 
 
+def test_any_text_survives_files(spark, tmp_path):
+    rng = random.Random(5)
+    pieces = ['"', '""', ",", "\n", "\r", "\r\n", "\\", '\\"', "\0", "\u0001", "\t", " ", "a", "ž", "#", "'", "NULL", "\U0001f600"]
+
+    def text():
+        return None if rng.random() < 0.15 else "".join(rng.choice(pieces) for _ in range(rng.randrange(6)))
+
+    rows = [(str(i), text(), text(), "end") for i in range(800)]
+    df = spark.createDataFrame(rows, "i string, a string, b string, z string")
+    write_lines(df.repartition(3), str(tmp_path / "x"), "null_aware", records_per_file=150)
+    back = read_records(spark, str(tmp_path / "x"), 4)
+    assert sorted(tuple(r)[:4] for r in back.collect()) == sorted(rows)
+    assert back.where(F.col(checks.BAD_RECORD).isNotNull()).select("c1", checks.BAD_RECORD).count() == 0
+    assert checks.misshapen(lines(df, "null_aware"), 4).count() == 0
+
+
 def test_spark_csv_writer_gives_the_quoted_lines(spark, tmp_path):
     df = spark.createDataFrame([(1, " a "), (None, 'q"'), (3, None), (4, "")], "a int, b string").coalesce(1)
     write_quoted_csv(df, str(tmp_path / "csv"))
@@ -114,6 +131,14 @@ def test_parquet_by_partition_keeps_every_row(spark, tmp_path):
     assert back.count() == 1000 and back.where("part = 'hot'").count() == 334
 
 
+def test_sorted_files_skip_row_groups(spark, tmp_path):
+    df = spark.range(2000).select((F.col("id") * 37 % 2000).alias("wm"), (F.col("id") % 2).alias("p")).coalesce(1)
+    write_parquet(df, str(tmp_path / "s"), ["p"], ["wm"])
+    for file in glob.glob(f"{tmp_path}/s/p=*/part-*"):
+        values = [r.wm for r in spark.read.parquet(file).collect()]
+        assert values == sorted(values)
+
+
 def test_manifest_layouts(spark):
     df = fixtures.numbered(spark)
     table = {"name": "auto Increment Timestamp", "schema": "dbo", "catalog": "test"}

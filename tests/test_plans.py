@@ -11,6 +11,7 @@ from sluicegate.operators import cdc, checks, incremental, merge
 from sluicegate.registered import QUERIES
 from sluicegate.registered.base import table
 from sluicegate.registered.changes import change_log
+from sluicegate.sinks.columnar import save_bucketed
 from sluicegate.sinks.lines import lines
 
 SF = "/root/testdata/sf0.001"
@@ -64,6 +65,20 @@ def test_applying_changes_does_not_move_them_again(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_changes_are_merged_into_a_bucketed_table_without_moving_it(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(1000).select(F.col("id").alias("user_id"), F.lit(1.0).alias("value"), F.lit("x").alias("event_type"))
+        save_bucketed(base, "bucketed_users", ["user_id"], 8, path=str(tmp_path / "users"))
+        net = cdc.net_changes(change_log(spark, SF), 100, 900)
+        df = merge.apply_changes(spark.table("bucketed_users"), net, ["user_id"])
+        assert physical(df).count("Exchange hashpartitioning") == 2  # the log in both branches of the union
+        assert df.count() == 1000 - net.where("is_deleted = 1").count() + net.where("user_id >= 1000").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS bucketed_users")
+
+
 def test_bounds_read_two_columns_in_one_pass(spark):
     t = F.lit("2024-01-10").cast("timestamp_ntz")
     plan = physical(cdc.lsn_bounds(change_log(spark, SF), t, t))
