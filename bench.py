@@ -1,4 +1,4 @@
-"""Headline queries, timed: one warm-up, then the median of five runs. Prints one JSON line.
+"""Headline queries, timed: one warm-up, then the median of three runs. Prints one JSON line.
 
 ``BENCH_SF_DIR`` names the tables' folder and ``BENCH_CPUS`` the number of cores.
 """
@@ -20,7 +20,7 @@ from sluicegate.sinks.lines import write_lines
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "5"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 REGISTERED = (
     "query_join_agg", "query_window", "query_rollup", "scan_table", "bulk_scan_ranges", "incr_numeric", "incr_datetime",

@@ -23,8 +23,9 @@ IS_DELETED = "is_deleted"
 class ChangeLog:
     """A change log and the meaning of its columns.
 
-    ``sequence`` orders changes of one position. ``positions`` is a list of positions and their commit
-    times, where one is kept beside the log; the log itself serves otherwise.
+    Positions rise with commit times. ``sequence`` orders changes of one position. ``positions`` is a
+    list of positions and their commit times, where one is kept beside the log; the log itself serves
+    otherwise.
     """
 
     df: DataFrame
@@ -78,6 +79,19 @@ def lsn_bounds(log: ChangeLog, begin: Column, end: Column, on_no_change: str = "
     )
 
 
+def range_between(log: ChangeLog, begin: Column, end: Column, on_no_change: str = "min") -> tuple:
+    """First and last position to read between two times.
+
+    What was committed since ``begin`` is looked at first, a predicate that lets a scan skip the older
+    part of the log; only when that leaves a bound open is the whole log asked.
+    """
+    position, time = F.col(quote(log.lsn)), F.col(quote(log.time))
+    recent = tuple(log.times.where(time >= begin).agg(F.min(position), F.max(F.when(time <= end, position))).first())
+    if None not in recent:
+        return recent
+    return tuple(lsn_bounds(log, begin, end, on_no_change).first()[:2])
+
+
 def check_range(from_lsn, to_lsn) -> None:
     if from_lsn is not None and to_lsn is not None and to_lsn < from_lsn:
         raise LsnRangeError("The end LSN is less than the start LSN.")
@@ -125,9 +139,16 @@ def full_load(table: DataFrame) -> DataFrame:
     return table.withColumn(IS_DELETED, F.lit(0))
 
 
-def commit_time(log: ChangeLog) -> DataFrame:
-    """Commit time of the log's last position, which is the next run's start."""
-    return log.times.agg(F.max_by(F.col(quote(log.time)), F.col(quote(log.lsn))).alias("last_fetched_time"))
+def commit_time(log: ChangeLog, since: Column | None = None) -> DataFrame:
+    """Commit time of the log's last position, which is the next run's start. With ``since`` only newer
+    positions are looked at; NULL then says that there are none."""
+    times = log.times if since is None else log.times.where(F.col(quote(log.time)) >= since)
+    return times.agg(F.max_by(F.col(quote(log.time)), F.col(quote(log.lsn))).alias("last_fetched_time"))
+
+
+def time_literal(log: ChangeLog, text: str) -> Column:
+    """A time in the type of the log's commit times."""
+    return F.lit(text).cast(log.times.schema[log.time].dataType)
 
 
 def changes_since(
@@ -146,9 +167,7 @@ def changes_since(
     """
     if last_time is None:
         return full_load(table) if always_flag else table
-    begin = F.lit(last_time).cast(log.df.schema[log.time].dataType)
-    bounds = lsn_bounds(log, begin, now, on_no_change).collect()[0]
-    from_lsn, to_lsn = bounds["from_lsn"], bounds["to_lsn"]
+    from_lsn, to_lsn = range_between(log, time_literal(log, last_time), now, on_no_change)
     if from_lsn is None or to_lsn is None:
         return full_load(table).where(F.lit(False))
     try:

@@ -12,9 +12,9 @@ from ..functions import text
 from ..functions.types import quote, source_type, watermark_family
 from ..session import ensure_checkpoint_dir
 
-#: Largest limit answered by one ordered heap; a larger one looks for the cut first.
+#: Rows that one task may sort or merge for a limit.
 HEAP_ROWS = 100_000
-
+MERGED_ROWS = 1_000_000
 
 def watermark_field(df: DataFrame, column: str) -> T.StructField:
     """The watermark column's field, once it is known to exist and to be orderable."""
@@ -50,26 +50,28 @@ def since(df: DataFrame, column: str, state: str | None) -> DataFrame:
 
 
 def first_rows(
-    df: DataFrame, column: str, n: int, tie_break: list[str] | None = None, heap_rows: int = HEAP_ROWS
+    df: DataFrame, column: str, n: int, tie_break: list[str] | None = None, heap_rows: int | None = None
 ) -> DataFrame:
     """The ``n`` rows with the lowest watermarks, NULLs first, ties in ``tie_break`` order.
 
-    A small limit is a top-k: each task keeps ``n`` rows and one task merges them. A large one would
-    pass the whole batch through that task, so the n-th order key is found first, and the batch becomes
-    a filter that every task answers for itself. Two passes over the watermark leave a narrow band
-    that holds the n-th row; only the order columns of that band are moved to find its key.
+    A small limit is a top-k: each task keeps ``n`` rows and one task merges them all. The larger the
+    cluster, the more tasks there are and the smaller a limit has to be for that. Any other limit would
+    overload the merging task, so the n-th order key is found first, and the batch becomes a filter
+    that every task answers for itself. Passes over the watermark leave a narrow band that holds the
+    n-th row; only the order columns of that band are moved to find its key.
     """
     watermark_field(df, column)
     order = [column, *(c for c in tie_break or [] if c != column)]
-    if n <= heap_rows:
+    spark = df.sparkSession
+    if n <= (heap_rows or min(HEAP_ROWS, MERGED_ROWS // spark.sparkContext.defaultParallelism)):
         return df.orderBy(*_ascending(order)).limit(n)
     if not tie_break:  # rows that share a watermark are told apart by their content
         order.append(_ROW_HASH)
         df = df.withColumn(_ROW_HASH, F.xxhash64(*(F.col(quote(c)) for c in df.columns)))
-    ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(spark)
     band, rows_before = _band(df, column, n)
     keys = df.where(band).groupBy(*(F.col(quote(c)) for c in order)).agg(F.count(F.lit(1)).alias(_COPIES))
-    cut, copies = _cut(keys, order, n - rows_before, heap_rows)
+    cut, copies = _cut(keys, order, n - rows_before, heap_rows or HEAP_ROWS)
     if cut is None:
         batch = df
     else:
@@ -81,40 +83,55 @@ def first_rows(
 _ROW_HASH, _COPIES, _PART = "__row_hash", "__copies", "__part"
 
 
-#: Steps of the watermark's distribution that a large limit looks up.
-_STEPS = 1000
+#: Steps of the watermark's distribution that a large limit looks up, and how often it looks closer.
+_STEPS, _LOOKS = 200, 3
 
 _MEASURED_TYPES = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def _band(df: DataFrame, column: str, n: int) -> tuple[Column, int]:
-    """Watermarks among which the n-th row is, and how many rows come before them.
+    """Watermarks among which the n-th row is, and how many rows come before them."""
+    band, before = F.lit(True), 0
+    for _ in range(_LOOKS):
+        narrower = _narrow(df.where(band).select(F.col(quote(column))), n - before)
+        if narrower is None:
+            break
+        band, skipped, inside = narrower
+        before += skipped
+        if inside <= MERGED_ROWS:
+            break
+    return band, before
+
+
+def _narrow(watermarks: DataFrame, n: int) -> tuple[Column, int, int] | None:
+    """A band around the n-th watermark, the rows before it and the rows in it.
 
-    An approximate distribution proposes the band and an exact count confirms it; without either the
-    band is everything.
+    An approximate distribution proposes the band and an exact count confirms it. None if there is no
+    narrower band. Splits are put together first, as each of them sends a summary to one task.
     """
-    value, everything = F.col(quote(column)), (F.lit(True), 0)
-    if not isinstance(df.schema[column].dataType, _MEASURED_TYPES):
-        return everything
+    (column,) = watermarks.columns
+    value = F.col(quote(column))
+    if not isinstance(watermarks.schema[column].dataType, _MEASURED_TYPES):
+        return None
     steps = [i / _STEPS for i in range(_STEPS + 1)]
-    seen = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(value).alias("filled"),
-        F.percentile_approx(value, steps, 20 * _STEPS).alias("marks"),
-    ).first()
-    nulls = seen["rows"] - seen["filled"]
+    tasks = 2 * watermarks.sparkSession.sparkContext.defaultParallelism
+    rows, filled, marks = (
+        watermarks.coalesce(tasks)
+        .agg(F.count(F.lit(1)), F.count(value), F.percentile_approx(value, steps, 10 * _STEPS))
+        .first()
+    )
+    nulls = rows - filled
+    if n >= rows or nulls == rows:
+        return None
     if n <= nulls:
-        return value.isNull(), 0
-    if n >= seen["rows"]:
-        return everything
-    place = int((n - nulls) / seen["filled"] * _STEPS)
-    low, high = seen["marks"][max(place - 1, 0)], seen["marks"][min(place + 2, _STEPS)]
-    inside = value.between(_cut_literal(df, column, low), _cut_literal(df, column, high))
-    counts = df.agg(
-        F.count(F.when(value < _cut_literal(df, column, low), 1)).alias("before"), F.count(F.when(inside, 1)).alias("inside")
-    ).first()
-    before = nulls + counts["before"]
-    return (inside, before) if before < n <= before + counts["inside"] else everything
+        return value.isNull(), 0, nulls
+    place = int((n - nulls) / filled * _STEPS)
+    low = _cut_literal(watermarks, column, marks[max(place - 1, 0)])
+    high = _cut_literal(watermarks, column, marks[min(place + 2, _STEPS)])
+    inside = value.between(low, high)
+    before, within = watermarks.agg(F.count(F.when(value < low, 1)), F.count(F.when(inside, 1))).first()
+    before += nulls
+    return (inside, before, within) if before < n <= before + within < before + rows else None
 
 
 def _ascending(names: list[str]) -> list[Column]:

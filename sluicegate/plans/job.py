@@ -105,7 +105,7 @@ def run_job(
     with time_limit(spark, spec.timeout_s):
         state = read_state(spark, f"{base}/state")
         run = state.run + 1
-        before = _state_before(spec, source)
+        before = _state_before(spec, source, state)
         planned = plan(spec, source, state)
         key = [k for k in spec.primary_key if k in planned.columns]
         rows, seen = checks.observed(planned, _shown_watermark(spec), key)
@@ -144,10 +144,12 @@ def _shown_watermark(spec: JobSpec) -> str | None:
     return spec.watermark if spec.watermark and (not spec.columns or spec.watermark in spec.columns) else None
 
 
-def _state_before(spec: JobSpec, source) -> str | None:
+def _state_before(spec: JobSpec, source, state: State) -> str | None:
     """State values that are to be known before the scan starts."""
     if spec.cdc:
-        position = cdc.commit_time(source.changes(spec.schema, spec.table, spec.primary_key))
+        changes = source.changes(spec.schema, spec.table, spec.primary_key)
+        since = cdc.time_literal(changes, state.last_fetched_time) if state.last_fetched_time else None
+        position = cdc.commit_time(changes, since)
         return position.select(F.col("last_fetched_time").cast("string")).first()[0]
     if spec.watermark and not spec.limit and (source.live or not _shown_watermark(spec)):
         table = source.table(spec.schema, spec.table)

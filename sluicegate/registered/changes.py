@@ -38,7 +38,7 @@ def change_log(spark, sf_dir) -> cdc.ChangeLog:
 
 
 def range_in_time(log: cdc.ChangeLog):
-    return cdc.lsn_bounds(log, time(BEGIN), time(END)).first()[:2]
+    return cdc.range_between(log, time(BEGIN), time(END))
 
 
 @registered(f"SELECT min(event_id) AS lsn FROM events WHERE ts >= TIMESTAMP '{BEGIN}'")

@@ -18,7 +18,7 @@ def write_parquet(
     many tasks and many small ones by few, instead of every task opening a file for every value. Rows
     sorted by a watermark within each task let later pulls skip row groups by their bounds."""
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = df.hint("rebalance", *(F.col(quote(c)) for c in partition_by))
     if sort_by:
         df = df.sortWithinPartitions(*(F.col(quote(c)) for c in [*(partition_by or []), *sort_by]))
     df.write.mode(mode).partitionBy(*(partition_by or [])).parquet(path)

@@ -48,13 +48,18 @@ class FolderSource:
 
 @dataclass
 class CatalogSource:
-    """Tables and views of the session's catalogs; change logs end in ``_changes``."""
+    """Tables and views of a catalog, the session's own by default; change logs end in ``_changes``.
+
+    With the catalog of ``jdbc.catalog_settings`` and ``live`` set, limits and highest watermarks are
+    worked out by the database.
+    """
 
     spark: SparkSession
+    catalog: str | None = None
     live: bool = False
 
     def _name(self, schema: str | None, name: str) -> str:
-        return ".".join(quote(p) for p in (schema, name) if p)
+        return ".".join(quote(p) for p in (self.catalog, schema, name) if p)
 
     def table(self, schema: str | None, name: str, **_) -> DataFrame:
         return self.spark.table(self._name(schema, name))

@@ -114,6 +114,17 @@ def test_bounds_by_time(spark):
     assert cdc.lsn_bounds(log, late, late, "empty").first()[:2] == (None, 30)
 
 
+@pytest.mark.parametrize(
+    "begin, end, bounds",
+    [("11", "25", (20, 20)), ("10", "30", (10, 30)), ("25", "15", (30, 10)), ("31", "59", (10, 30)), ("00", "05", (10, None))],
+)
+def test_range_looks_at_the_recent_part_first(spark, begin, end, bounds):
+    log = log_of(spark, [(n, 1, 4, n, "x") for n in (10, 20, 30)])
+    begin, end = (at(f"2024-01-01 00:00:{s}") for s in (begin, end))
+    assert cdc.range_between(log, begin, end) == bounds
+    assert tuple(cdc.lsn_bounds(log, begin, end).first()[:2]) == bounds
+
+
 def test_range_guard_and_full_load(spark):
     log = log_of(spark, [(n, 1, 4, n, "x") for n in (10, 20, 30)])
     table = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
@@ -134,6 +145,8 @@ def test_first_load_has_no_flag_unless_asked_for(spark):
 def test_state_is_the_time_of_the_last_position(spark):
     log = log_of(spark, [(n, 1, 4, n, "x") for n in (10, 30, 20)])
     assert str(cdc.commit_time(log).first()[0]) == "2024-01-01 00:00:30"
+    assert str(cdc.commit_time(log, at("2024-01-01 00:00:20")).first()[0]) == "2024-01-01 00:00:30"
+    assert cdc.commit_time(log, at("2024-01-01 00:00:31")).first()[0] is None
 
 
 def test_positions_kept_beside_the_log(spark):

@@ -131,6 +131,12 @@ def test_parquet_by_partition_keeps_every_row(spark, tmp_path):
     assert back.count() == 1000 and back.where("part = 'hot'").count() == 334
 
 
+def test_partition_column_with_an_odd_name(spark, tmp_path):
+    df = spark.range(10).select("id", (F.col("id") % 2).alias("od d.name"))
+    write_parquet(df, str(tmp_path / "o"), ["od d.name"])
+    assert spark.read.parquet(str(tmp_path / "o")).where("`od d.name` = 1").count() == 5
+
+
 def test_sorted_files_skip_row_groups(spark, tmp_path):
     df = spark.range(2000).select((F.col("id") * 37 % 2000).alias("wm"), (F.col("id") % 2).alias("p")).coalesce(1)
     write_parquet(df, str(tmp_path / "s"), ["p"], ["wm"])

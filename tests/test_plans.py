@@ -79,6 +79,12 @@ def test_changes_are_merged_into_a_bucketed_table_without_moving_it(spark, tmp_p
         spark.sql("DROP TABLE IF EXISTS bucketed_users")
 
 
+def test_recent_positions_are_found_by_the_scan(spark):
+    log = change_log(spark, SF)
+    plan = physical(cdc.commit_time(log, F.lit("2024-01-20").cast("timestamp_ntz")))
+    assert "GreaterThanOrEqual(ts,2024-01-20T00:00)" in plan
+
+
 def test_bounds_read_two_columns_in_one_pass(spark):
     t = F.lit("2024-01-10").cast("timestamp_ntz")
     plan = physical(cdc.lsn_bounds(change_log(spark, SF), t, t))
