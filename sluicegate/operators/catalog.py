@@ -86,7 +86,9 @@ def list_columns(snapshot: Snapshot) -> DataFrame:
 
 def column_constraints(snapshot: Snapshot, whitelist: DataFrame | None = None) -> DataFrame:
     """One row per constrained column: names of its key constraints, its check, its first reference."""
-    usage = _listed(snapshot.key_usage, whitelist).join(snapshot.constraints, [*TABLE, "constraint"])
+    usage = _listed(snapshot.key_usage, whitelist)
+    keys = snapshot.constraints.where(F.col("type").isin(PRIMARY_KEY, UNIQUE, CHECK))
+    keyed = usage.join(keys, [*TABLE, "constraint"]).select(*COLUMN, "type", "constraint")
     target = snapshot.key_usage.select(
         F.col("schema").alias("ref_schema"),
         F.col("constraint").alias("ref_constraint"),
@@ -94,11 +96,10 @@ def column_constraints(snapshot: Snapshot, whitelist: DataFrame | None = None) -
         F.col("column").alias("ref_column"),
         "ordinal",
     )
-    resolved = snapshot.references.join(target, ["ref_schema", "ref_constraint"])
-    linked = usage.join(
-        resolved.select("schema", "constraint", "ordinal", "ref_schema", "ref_table", "ref_column"),
-        ["schema", "constraint", "ordinal"],
-        "left",
+    linked = (
+        usage.join(snapshot.references, ["schema", "constraint"])
+        .join(target, ["ref_schema", "ref_constraint", "ordinal"])
+        .select(*COLUMN, F.lit(FOREIGN_KEY).alias("type"), "constraint", "ref_schema", "ref_table", "ref_column")
     )
 
     def named(kind: str):
@@ -107,7 +108,7 @@ def column_constraints(snapshot: Snapshot, whitelist: DataFrame | None = None) -
     reference = F.when(
         F.col("type") == FOREIGN_KEY, F.struct(F.col("constraint").alias("name"), "ref_schema", "ref_table", "ref_column")
     )
-    per_column = linked.groupBy(*COLUMN).agg(
+    per_column = keyed.unionByName(linked, allowMissingColumns=True).groupBy(*COLUMN).agg(
         named(PRIMARY_KEY).alias("pk_name"),
         named(UNIQUE).alias("uk_name"),
         named(CHECK).alias("chk_name"),

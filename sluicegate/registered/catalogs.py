@@ -105,7 +105,7 @@ full_cols AS (
          CASE WHEN c.n = 1 THEN 'pk_' || c.k || '_' || c.n END AS pk_name,
          CASE WHEN c.q > 30 THEN 'uk_' || c.k || '_' || c.n END AS uk_name,
          CASE WHEN c.q > 45 THEN 'ck_' || c.k || '_' || c.n END AS chk_name,
-         CASE WHEN c.n = 2 THEN 'fk_' || c.k || '_' || c.n END AS fk_name,
+         CASE WHEN c.n = 2 AND t.k IS NOT NULL THEN 'fk_' || c.k || '_' || c.n END AS fk_name,
          CASE WHEN c.n = 2 AND t.k IS NOT NULL THEN 's' || (c.supplier % 7) END AS ref_schema,
          CASE WHEN c.n = 2 AND t.k IS NOT NULL THEN 'order ' || c.supplier END AS ref_table,
          CASE WHEN c.n = 2 AND t.k IS NOT NULL THEN '_line%d 1' END AS ref_column
