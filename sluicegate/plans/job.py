@@ -115,7 +115,7 @@ def run_job(
         else:
             write_lines(rows, data_path, format)
         measured = seen.get
-        count = measured["rows"] or 0
+        count = measured.get("rows") or 0
         new = _state_after(spec, source, state, before, measured, run)
         if spec.watermark:
             incremental.check_progress(state.last_fetched_row, new.last_fetched_row, count, spec.limit)
@@ -173,11 +173,14 @@ def _state_after(spec: JobSpec, source, state: State, before: str | None, measur
 
 def run_jobs(spark: SparkSession, specs: list[JobSpec], source, out_dir: str, parallel: int = 4, **options) -> list[JobResult]:
     """All enabled jobs, some at a time, sharing the cluster fairly."""
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", "sluicegate")
     enabled = [s for s in specs if s.enabled]
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", "sluicegate")
+    try:
         work = inheritable_thread_target(spark)(lambda s: run_job(spark, s, source, out_dir, **options))
-        return list(pool.map(work, enabled))
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            return list(pool.map(work, enabled))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
 
 def table_counts(source, tables: list[tuple[str | None, str]]) -> DataFrame:

@@ -21,9 +21,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """Path of a new folder, not yet created, that every executor can reach."""
-    base = _checkpoint_setting(spark)
-    if base is None:
-        base = tempfile.mkdtemp(prefix="sluice-")
+    base = _checkpoint_setting(spark) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="sluice-")
     return os.path.join(base, f"{purpose}-{uuid.uuid4().hex}")
 
 

@@ -13,6 +13,7 @@ from sluicegate.registered.base import table
 from sluicegate.registered.changes import change_log
 from sluicegate.sinks.columnar import save_bucketed
 from sluicegate.sinks.lines import lines
+from sluicegate.sources.tables import CatalogSource
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,6 +74,7 @@ def test_changes_are_merged_into_a_bucketed_table_without_moving_it(spark, tmp_p
         net = cdc.net_changes(change_log(spark, SF), 100, 900)
         df = merge.apply_changes(spark.table("bucketed_users"), net, ["user_id"])
         assert physical(df).count("Exchange hashpartitioning") == 2  # the log in both branches of the union
+        assert CatalogSource(spark, catalog="spark_catalog").table("default", "bucketed_users").count() == 1000
         assert df.count() == 1000 - net.where("is_deleted = 1").count() + net.where("user_id >= 1000").count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
