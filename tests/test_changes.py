@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import functions as F
 
 from sluicegate.errors import LsnRangeError
@@ -164,6 +165,18 @@ def test_upsert_replaces_by_key(spark):
     assert sorted(tuple(r) for r in base.collect()) == [(1, "a"), (2, "B"), (3, "c")]
 
 
+def test_merge_is_resolved_and_only_the_table_format_refuses_it(spark, tmp_path):
+    base = spark.range(5).selectExpr("id", "id AS v")
+    base.write.option("path", str(tmp_path / "t")).mode("overwrite").saveAsTable("merge_target")
+    try:
+        net = spark.range(3).selectExpr("id", "id * 10 AS v", "0 AS is_deleted")
+        for rows in (net, net.drop("is_deleted")):
+            with pytest.raises(UnsupportedOperationException, match="does not support MERGE INTO TABLE"):
+                merge.merge_into("merge_target", rows, ["id"])
+    finally:
+        spark.sql("DROP TABLE IF EXISTS merge_target")
+
+
 def test_reconcile_counts_both_sides(spark):
     source = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "id int, v string")
     copy = spark.createDataFrame([(1, "a"), (2, None), (4, "d")], "id int, v string")
