@@ -4,6 +4,7 @@ import pytest
 from compare import TESTDATA, compare, duck
 
 import __spark_entry__ as spark_entry
+from sluicegate.registered import ORACLES, QUERIES
 
 SF = f"{TESTDATA}/sf0.001"
 
@@ -13,14 +14,14 @@ def other():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_duckdb(spark, other, name):
     rows, problem = compare(spark, other, spark_entry.queries()[name], spark_entry.oracle_sql()[name], SF)
     assert problem is None
 
 
 def test_queries_without_sql(spark):
-    assert set(spark_entry.queries()) - set(spark_entry.oracle_sql()) == {"query_any_n"}
+    assert set(QUERIES) - set(ORACLES) == {"query_any_n"}
     assert spark_entry.queries()["query_any_n"](spark, SF).count() == 5
 
 
