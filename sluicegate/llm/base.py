@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +20,31 @@ ORACLES: dict[str, str] = {}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of an application, wherever it was started from."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        folder = tempfile.mkdtemp(prefix="sluice-")  # Spark serves the archive from here while the driver lives
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        shutil.copytree(package, f"{folder}/src/{os.path.basename(package)}", ignore=shutil.ignore_patterns("__pycache__"))
+        context.addPyFile(shutil.make_archive(f"{folder}/sluicegate_llm", "zip", f"{folder}/src"))
+        _shipped.add(context.applicationId)
+
+
 def registered(oracle: str | None = None):
     """Registers a query under its function's name."""
 
     def add(fn):
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = query
         if oracle is not None:
             ORACLES[fn.__name__] = oracle.strip()
         return fn

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registered.base import table
-from . import mixing
+from . import mixing, simhash
 from .base import registered
 
 
@@ -47,3 +47,11 @@ def op5_mix_sources(spark, sf_dir):
     """Words each document gives to the mix of all sources."""
     mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+@registered()
+def op8_simhash_near_duplicates(spark, sf_dir):
+    """Fingerprints of four-word shingles, linked within four bits, and the least document each reaches."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4)
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
