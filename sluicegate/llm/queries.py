@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..registered.base import table
-from . import mixing, simhash
+from . import decontaminate, mixing, simhash
 from .base import registered
 
 
@@ -55,3 +55,55 @@ def op8_simhash_near_duplicates(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, radius=4)
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def _tokens_sql(text: str) -> str:
+    """The slot-marked words of a text in DuckDB; the patterns are RE2's as well as Java's."""
+    named = f"regexp_replace(coalesce({text}, ''), '{_sql(decontaminate.NAME_PATTERN)}', '\\1' || chr(1) || '\\2' || chr(1), 'g')"
+    numbered = f"regexp_replace(lower({named}), '{_sql(decontaminate.NUMBER_PATTERN)}', chr(2) || '\\0', 'g')"
+    measured = f"regexp_replace({numbered}, '{_sql(decontaminate.UNIT_PATTERN)}', '\\1 ' || chr(3) || '\\2\\3', 'g')"
+    return f"regexp_extract_all({measured}, '{_sql(decontaminate.TOKEN_PATTERN)}')"
+
+
+def _sql(pattern: str) -> str:
+    return "".join(rf"\x0{ord(c)}" if c < "\x04" else c for c in pattern).replace("'", "''")
+
+
+@registered(f"""
+WITH document_words AS (
+  SELECT DISTINCT doc_id, text, {_tokens_sql("text")} AS words FROM documents),
+item_words AS (
+  SELECT DISTINCT item_id, {_tokens_sql("text")} AS words FROM benchmark),
+document_spans AS (
+  SELECT doc_id, md5(text) AS body,
+    unnest(list_transform(range(0, len(words) - 7), lambda i: {{'at': i, 'words': words[i + 1:i + 8]}})) AS span
+  FROM document_words WHERE len(words) >= 8),
+item_spans AS (
+  SELECT item_id, words, unnest(list_transform(range(0, len(words) - 7), lambda i: {{'at': i, 'words': words[i + 1:i + 8]}})) AS span
+  FROM item_words WHERE len(words) >= 8),
+document_windows AS (
+  SELECT doc_id, body, span.at AS at, list_filter(span.words, lambda t: t < chr(4)) AS slots,
+    array_to_string(list_transform(span.words, lambda t: CASE WHEN t < chr(4) THEN substr(t, 1, 1) ELSE t END), ' ') AS template
+  FROM document_spans),
+item_windows AS (
+  SELECT item_id, words, span.at AS at, list_filter(span.words, lambda t: t < chr(4)) AS slots,
+    array_to_string(list_transform(span.words, lambda t: CASE WHEN t < chr(4) THEN substr(t, 1, 1) ELSE t END), ' ') AS template
+  FROM item_spans),
+aligned AS (
+  SELECT d.doc_id, d.body, i.item_id, i.words, list(DISTINCT i.at) AS places,
+    list_distinct(flatten(list(list_zip(i.slots, d.slots)))) AS pairs
+  FROM document_windows d JOIN item_windows i ON d.template = i.template AND len(i.slots) <= 3
+  GROUP BY d.doc_id, d.body, i.item_id, i.words, d.at - i.at),
+consistent AS (
+  SELECT *, unnest(places) AS place FROM aligned
+  WHERE len(pairs) = len(list_distinct(list_transform(pairs, lambda p: p[1])))),
+covered AS (
+  SELECT doc_id, body, item_id, words, pairs, unnest(range(place, place + 8)) AS word FROM consistent)
+SELECT doc_id, item_id, CAST(len(words) AS INTEGER) AS item_words, CAST(count(DISTINCT word) AS INTEGER) AS words_covered,
+  bool_or(len(list_filter(pairs, lambda p: p[1] <> p[2])) > 0) AS reworded
+FROM covered GROUP BY doc_id, body, item_id, words HAVING count(DISTINCT word) >= len(words) * 0.5
+""")
+def op10_benchmark_leaks(spark, sf_dir):
+    """Benchmark items found in documents, also with other numbers, names or units in their slots."""
+    found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
