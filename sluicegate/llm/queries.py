@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..registered.base import table
-from . import decontaminate, mixing, simhash
-from .base import registered
+from ..session import scratch_dir
+from . import decontaminate, frames, mixing, simhash
+from .base import registered, removed_at_exit
 
 
 @registered(r"""
@@ -107,3 +109,12 @@ def op10_benchmark_leaks(spark, sf_dir):
     """Benchmark items found in documents, also with other numbers, names or units in their slots."""
     found = decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_hash")
+
+
+@registered()
+def op9_token_id_shards(spark, sf_dir):
+    """Every document's place, length and checksum, read back from shards of token ids."""
+    folder = removed_at_exit(spark, scratch_dir(spark, "token-ids"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    manifest = frames.write_token_ids(table(spark, sf_dir, "documents"), folder, path)
+    return frames.scan_shards(manifest, frames.crc32).withColumnRenamed("value", "ids_crc32")
