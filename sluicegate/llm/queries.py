@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, mixing, simhash
+from . import decontaminate, frames, mixing, simhash, tokens
 from .base import registered, removed_at_exit
 
 
@@ -118,3 +118,9 @@ def op9_token_id_shards(spark, sf_dir):
     path = public_tokenizers.path("byte_bpe_50k.json")
     manifest = frames.write_token_ids(table(spark, sf_dir, "documents"), folder, path)
     return frames.scan_shards(manifest, frames.crc32).withColumnRenamed("value", "ids_crc32")
+
+
+@registered()
+def op2_token_counts(spark, sf_dir):
+    """Tokens of every document under a word-level byte-pair vocabulary."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
