@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, mixing, simhash, tokens
+from . import decontaminate, frames, mixing, quality, simhash, tokens
 from .base import registered, removed_at_exit
 
 
@@ -124,3 +124,9 @@ def op9_token_id_shards(spark, sf_dir):
 def op2_token_counts(spark, sf_dir):
     """Tokens of every document under a word-level byte-pair vocabulary."""
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@registered()
+def op4_quality_scores(spark, sf_dir):
+    """Quality of every document by the quadratic discriminant."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
