@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, mixing, quality, simhash, tokens
+from . import decontaminate, frames, mixing, quality, simhash, tokens, topk
 from .base import registered, removed_at_exit
 
 
@@ -130,3 +130,22 @@ def op2_token_counts(spark, sf_dir):
 def op4_quality_scores(spark, sf_dir):
     """Quality of every document by the quadratic discriminant."""
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered("""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""")
+def op6_top_inner_products(spark, sf_dir):
+    """The five vectors of largest integer inner product for every fiftieth vector, among all others."""
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_inner_products(vectors.filter("vec_id % 50 = 0"), vectors, k=5)
