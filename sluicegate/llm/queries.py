@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, mixing, quality, simhash, tokens, topk
+from . import decontaminate, frames, mixing, quality, simhash, tokens, topk, urls
 from .base import registered, removed_at_exit
 
 
@@ -149,3 +149,76 @@ def op6_top_inner_products(spark, sf_dir):
     """The five vectors of largest integer inner product for every fiftieth vector, among all others."""
     vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
     return topk.top_inner_products(vectors.filter("vec_id % 50 = 0"), vectors, k=5)
+
+
+def captures(spark, sf_dir):
+    """Pages with the time of their capture: an hour apart in order of page_id, as the pages carry no time."""
+    at = F.timestamp_seconds(F.lit(1704067200) + F.col("page_id") * 3600)
+    return table(spark, sf_dir, "pages").select("page_id", "url", at.alias("fetched_at"))
+
+
+def list_entries(spark, sf_dir):
+    """A dated list made from the pages: a third of the hosts are blocked for a while and half of these again, and half of
+    the sections of such hosts are allowed ten days after they were first seen."""
+    seen = captures(spark, sf_dir).groupBy(
+        urls.host_of(F.col("url")).alias("host"), F.regexp_extract(urls.path_of(F.col("url")), "^/([^/]+)", 1).alias("section")
+    ).agg(F.min("fetched_at").alias("first"))
+    days = "unix_seconds(first) + 86400 * "
+    drawn = "conv(substr(md5({0}), 1, 6), 16, 10)"
+    hosts = seen.filter("host IS NOT NULL").groupBy("host").agg(F.min("first").alias("first"))
+    listed = hosts.withColumn("draw", F.expr(drawn.format("host")).cast("long")).filter("draw % 3 = 0")
+    dated = listed.select(F.col("host").alias("pattern"), F.inline(F.expr(f"""array(
+        struct('block' AS action, {days} (draw % 20) AS at), struct('remove' AS action, {days} (40 + draw % 100) AS at),
+        struct(IF(draw % 2 = 0, 'block', 'remove') AS action, {days} 200 AS at))""")))
+    sections = seen.filter("section <> ''").join(listed.select("host"), "host").withColumn("pattern", F.concat_ws("/", "host", "section"))
+    allowed = sections.filter(F.expr(drawn.format("pattern")).cast("long") % 2 == 0)
+    entries = dated.union(allowed.select("pattern", F.lit("allow").alias("action"), F.expr(f"{days} 10").alias("at")))
+    return entries.withColumn("at", F.timestamp_seconds("at"))
+
+
+@registered(r"""
+WITH parsed AS (
+  SELECT page_id, url, 1704067200 + page_id * 3600 AS ts,
+    nullif(regexp_replace(regexp_replace(
+      regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '^www[.]', ''), '[.]+$', ''), '') AS host,
+    regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path
+  FROM pages),
+seen AS (
+  SELECT host, regexp_extract(path, '^/([^/]+)', 1) AS section, min(ts) AS seen_at FROM parsed
+  WHERE host IS NOT NULL GROUP BY ALL),
+listed AS (
+  SELECT * FROM (
+    SELECT host, min(seen_at) AS seen_at, CAST('0x' || substr(md5(host), 1, 6) AS BIGINT) AS draw FROM seen GROUP BY host)
+  WHERE draw % 3 = 0),
+entries AS (
+  SELECT host AS pattern, 'block' AS action, seen_at + 86400 * (draw % 20) AS ts FROM listed
+  UNION ALL SELECT host, 'remove', seen_at + 86400 * (40 + draw % 100) FROM listed
+  UNION ALL SELECT host, CASE WHEN draw % 2 = 0 THEN 'block' ELSE 'remove' END, seen_at + 86400 * 200 FROM listed
+  UNION ALL SELECT seen.host || '/' || section, 'allow', seen.seen_at + 86400 * 10 FROM seen JOIN listed USING (host)
+    WHERE section <> '' AND CAST('0x' || substr(md5(seen.host || '/' || section), 1, 6) AS BIGINT) % 2 = 0),
+spans AS (
+  SELECT pattern, action, ts AS valid_from, lead(ts) OVER (PARTITION BY pattern ORDER BY ts) AS valid_to
+  FROM (SELECT pattern, ts, max(action) AS action FROM entries GROUP BY pattern, ts)),
+pieces AS (
+  SELECT page_id, url, ts, host, string_split(host, '.') AS labels,
+    list_filter(string_split(path, '/'), lambda p: p <> '') AS parts
+  FROM parsed),
+looked AS (
+  SELECT page_id, url, ts, unnest(list_distinct(list_concat(
+    list_transform(range(1, greatest(len(labels) - 1, 1) + 1), lambda i: array_to_string(labels[i:], '.')),
+    list_transform(range(1, least(len(parts), 3) + 1), lambda n: host || '/' || array_to_string(parts[1:n], '/'))))) AS pattern
+  FROM pieces WHERE host IS NOT NULL),
+met AS (
+  SELECT page_id, l.ts, row(length(s.pattern), s.pattern, s.action, s.valid_from) AS entry
+  FROM looked l JOIN spans s ON l.pattern = s.pattern AND s.action <> 'remove' AND l.ts >= s.valid_from
+    AND (s.valid_to IS NULL OR l.ts < s.valid_to)),
+best AS (SELECT page_id, max(entry) AS entry FROM met GROUP BY page_id)
+SELECT p.page_id, CAST(p.ts AS BIGINT) AS fetched_at, coalesce(entry[3] = 'block', false) AS blocked, entry[2] AS pattern,
+  entry[3] AS action, CAST(entry[4] AS BIGINT) AS valid_from
+FROM parsed p LEFT JOIN best USING (page_id)
+""")
+def op3_url_filter(spark, sf_dir):
+    """Every page, judged by the list as it was when the page was captured."""
+    judged = urls.judge(captures(spark, sf_dir), list_entries(spark, sf_dir))
+    seconds = {c: F.unix_seconds(c) for c in ("fetched_at", "valid_from")}
+    return judged.drop("url").withColumns(seconds)
