@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, mixing, quality, simhash, tokens, topk, urls
+from . import decontaminate, frames, lm, mixing, quality, simhash, tokens, topk, urls
 from .base import registered, removed_at_exit
 
 
@@ -222,3 +222,10 @@ def op3_url_filter(spark, sf_dir):
     judged = urls.judge(captures(spark, sf_dir), list_entries(spark, sf_dir))
     seconds = {c: F.unix_seconds(c) for c in ("fetched_at", "valid_from")}
     return judged.drop("url").withColumns(seconds)
+
+
+@registered()
+def op7_cross_entropy_difference(spark, sf_dir):
+    """How much more each document is like the benchmark's texts than like all documents."""
+    docs = table(spark, sf_dir, "documents")
+    return lm.score_documents(docs, table(spark, sf_dir, "benchmark").select("text"), docs.select("text"))
