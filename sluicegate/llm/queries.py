@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, lm, mixing, quality, simhash, tokens, topk, urls
+from . import decontaminate, frames, lm, mixing, quality, simhash, tokens, topk, toxicity, urls
 from .base import registered, removed_at_exit
 
 
@@ -229,3 +229,9 @@ def op7_cross_entropy_difference(spark, sf_dir):
     """How much more each document is like the benchmark's texts than like all documents."""
     docs = table(spark, sf_dir, "documents")
     return lm.score_documents(docs, table(spark, sf_dir, "benchmark").select("text"), docs.select("text"))
+
+
+@registered()
+def op1_toxicity_scores(spark, sf_dir):
+    """Toxicity of every document, by its most toxic window."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
