@@ -26,9 +26,9 @@ WORD_DIMS, CHAR_DIMS, HIDDEN, ATTENTION = 10, 6, 8, 8
 CHAR_BUCKETS, CHAR_SIZES = 1 << 15, (3, 4, 5)
 #: Documents that are learned from, of either label, at most (chosen by a hash of their id), and words known by name.
 SAMPLE, KNOWN_WORDS, LEAST_DOCS = 2_500, 30_000, 3
-ROUNDS, LEAST_STEPS, BATCH, RATE = 5, 240, 64, 0.01
-#: Words whose inputs a worker remembers, and windows scored together.
-REMEMBERED, WINDOWS_AT_ONCE = 500_000, 2_048
+ROUNDS, MOST_ROUNDS, LEAST_STEPS, BATCH, RATE = 5, 40, 240, 64, 0.01
+#: Words whose inputs a worker remembers, windows scored together, and words prepared together in training.
+REMEMBERED, WINDOWS_AT_ONCE, WORDS_AT_ONCE = 500_000, 2_048, 20_000
 EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 
 
@@ -237,26 +237,40 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Toxicity:
     model = Toxicity(constant=n1 / len(labels) if len(labels) else 0.5)
     if not 0 < n1 < len(labels):
         return model
-    split = [[word_of(c) for c in t.split()] for t in texts]
-    seen = Counter(w for t in split for w in set(t))
-    toxic = Counter(w for t, y in zip(split, labels) if y for w in set(t))
-    known = [w for w, n in seen.most_common(KNOWN_WORDS) if n >= LEAST_DOCS]
+    at: dict[str, int] = {}
+    of_chunk: dict[str, int] = {}
+    rows: list[np.ndarray] = []
+    for text in texts:
+        chunks = text.split()
+        of_chunk.update((c, at.setdefault(word_of(c), len(at))) for c in chunks if c not in of_chunk)
+        rows.append(np.fromiter(map(of_chunk.__getitem__, chunks), np.int32, len(chunks)))
+    del of_chunk
+    distinct = list(at)
+    seen, toxic = np.zeros(len(at)), np.zeros(len(at))
+    for own, y in zip(rows, labels):
+        met = np.unique(own)
+        seen[met] += 1
+        toxic[met] += y
+    known = np.flatnonzero(seen >= LEAST_DOCS)
+    known = known[np.argsort(-seen[known], kind="stable")][:KNOWN_WORDS]
     draw = np.random.default_rng(seed)
-    model.place = {w: i for i, w in enumerate(known, 1)}
-    odds = np.array([math.log((toxic[w] + 0.5) / (n1 + 1) / ((seen[w] - toxic[w] + 0.5) / (len(labels) - n1 + 1))) for w in known])
+    model.place = {distinct[w]: i for i, w in enumerate(known.tolist(), 1)}
+    odds = np.log((toxic + 0.5) / (n1 + 1)) - np.log((seen - toxic + 0.5) / (len(labels) - n1 + 1))
     model.words = draw.normal(0, 0.05, (len(known) + 1, WORD_DIMS)).astype(np.float32)
-    model.words[1:, 0], model.words[0, 0] = np.clip(odds, -2, 4), 0
+    model.words[1:, 0], model.words[0, 0] = np.clip(odds[known], -2, 4), 0
     model.chars = draw.normal(0, 0.05, (CHAR_BUCKETS, CHAR_DIMS)).astype(np.float32)
     model.network, adam = Network(seed), Adam(RATE)
 
-    distinct = list({w for t in split for w in t})
-    at = {w: i for i, w in enumerate(distinct)}
-    word_place = np.array([model.place.get(w, 0) for w in distinct], np.int64)
-    buckets, owner = n_grams(distinct)
-    order = np.argsort(owner, kind="stable")
-    buckets, first = buckets[order], np.searchsorted(owner[order], np.arange(len(distinct) + 1))
-    rows = [np.array([at[w] for w in t], np.int64) for t in split]
-    places = [window_places(len(r)) for r in rows]
+    word_place = np.zeros(len(distinct), np.int32)
+    word_place[known] = np.arange(1, len(known) + 1)
+    parts, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for begin in range(0, len(distinct), WORDS_AT_ONCE):
+        part = distinct[begin : begin + WORDS_AT_ONCE]
+        grams, owner = n_grams(part)
+        parts.append(grams[np.argsort(owner, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(owner, minlength=len(part)))
+    buckets, first = np.concatenate(parts), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    places = [window_places(len(r)).astype(np.int32) for r in rows]
     prior = model.words[word_place, 0]
 
     def inputs(used: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -273,10 +287,11 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Toxicity:
         return np.where(p >= 0, rows[i][p] if len(rows[i]) else 0, -1)
 
     chosen = [int(np.argmax([np.maximum(prior[r[r >= 0]], 0).sum() for r in (words_in(i, k) for k in range(len(p)))])) for i, p in enumerate(places)]
-    rounds = max(ROUNDS, math.ceil(LEAST_STEPS * BATCH / len(rows)))
+    rounds = min(MOST_ROUNDS, max(ROUNDS, math.ceil(LEAST_STEPS * BATCH / len(rows))))
     for turn in range(rounds):
         if turn:
-            _choose(model, rows, distinct, chosen)
+            every = (np.arange(k, min(k + WORDS_AT_ONCE, len(distinct))) for k in range(0, len(distinct), WORDS_AT_ONCE))
+            _choose(model, rows, np.concatenate([inputs(part)[0] for part in every]), chosen)
         adam.rate = RATE * 0.1 ** (turn / rounds)
         shuffled = draw.permutation(len(rows))
         for begin in range(0, len(rows), BATCH):
@@ -298,9 +313,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Toxicity:
     return model
 
 
-def _choose(model: Toxicity, rows: list[np.ndarray], distinct: list[str], chosen: list[int]) -> None:
-    """Sets each text's most toxic window under the model as it is."""
-    table = model._inputs_of(distinct)
+def _choose(model: Toxicity, rows: list[np.ndarray], table: np.ndarray, chosen: list[int]) -> None:
+    """Sets each text's most toxic window under the model as it is; ``table`` has the inputs of each word."""
     best = np.full(len(rows), -np.inf)
     seen = np.zeros(len(rows), np.int64)
     for owner, places in _windows(rows):
