@@ -174,7 +174,7 @@ def top_inner_products(queries: DataFrame, candidates: DataFrame, k: int) -> Dat
     turn = rotation(candidates, dims)
     longest = candidates.orderBy(F.desc("squared"), "vec_id").limit(SEEDS).select("vec_id", "v").collect()
     seed_ids = np.array([r["vec_id"] for r in longest], np.int64)
-    seeds = np.array([r["v"] + [0] * (dims - len(r["v"])) for r in longest], np.int64).reshape(-1, dims)
+    seeds = np.array([r["v"] + [0] * (dims - len(r["v"])) for r in longest], np.int64).reshape(len(longest), dims)
     sent = spark.sparkContext.broadcast((seed_ids, seeds))
 
     def floors(ids: np.ndarray, v: np.ndarray) -> np.ndarray:
