@@ -98,11 +98,17 @@ def check_range(from_lsn, to_lsn) -> None:
 
 
 def net_changes(
-    log: ChangeLog, from_lsn, to_lsn, columns: list[str] | None = None, with_log_columns: bool = False
+    log: ChangeLog,
+    from_lsn,
+    to_lsn,
+    columns: list[str] | None = None,
+    with_log_columns: bool = False,
+    keep_vanished: bool = False,
 ) -> DataFrame:
     """The one change per key that a range amounts to, with its delete flag.
 
-    A key's last row image wins. A key that was inserted and deleted inside the range is left out; one
+    A key's last row image wins. A key that was inserted and deleted inside the range is left out, or kept as a
+    delete with ``keep_vanished``: ranges of runs share a position, so an earlier one may have sent the insert. One
     that was deleted and inserted again counts as updated. First and last change of a key come out of
     one aggregation that every task starts on its own rows, so a key with very many changes sends one
     row per task. Only the columns asked for are carried along.
@@ -125,7 +131,8 @@ def net_changes(
     result = [F.col(quote(c)) if c in log.keys else last.getField(c).alias(c) for c in shown]
     if with_log_columns:
         result += [last.getField(log.lsn).alias(log.lsn), net_op.alias(log.op), last.getField(log.time).alias(log.time)]
-    return net.where(~vanished).select(*result, F.when(last_op == DELETE, 1).otherwise(0).alias(IS_DELETED))
+    kept = net if keep_vanished else net.where(~vanished)
+    return kept.select(*result, F.when(last_op == DELETE, 1).otherwise(0).alias(IS_DELETED))
 
 
 def all_changes(log: ChangeLog, from_lsn, to_lsn) -> DataFrame:
@@ -146,6 +153,14 @@ def commit_time(log: ChangeLog, since: Column | None = None) -> DataFrame:
     return times.agg(F.max_by(F.col(quote(log.time)), F.col(quote(log.lsn))).alias("last_fetched_time"))
 
 
+def last_position(log: ChangeLog, since: Column | None = None) -> tuple:
+    """The log's last position and its commit time as text; with ``since`` only newer ones are looked at. NULLs
+    if there is none."""
+    times = log.times if since is None else log.times.where(F.col(quote(log.time)) >= since)
+    position, time = F.col(quote(log.lsn)), F.col(quote(log.time))
+    return tuple(times.agg(F.max(position), F.max_by(time, position).cast("string")).first())
+
+
 def time_literal(log: ChangeLog, text: str) -> Column:
     """A time in the type of the log's commit times."""
     return F.lit(text).cast(log.times.schema[log.time].dataType)
@@ -159,19 +174,22 @@ def changes_since(
     full_load_fallback: bool = False,
     always_flag: bool = False,
     on_no_change: str = "min",
+    end_lsn=None,
+    keep_vanished: bool = False,
 ) -> DataFrame:
     """What a run exports: the whole table at first, net changes since ``last_time`` later.
 
-    The two bounds are the only values that reach the driver; as literals they prune the second scan.
+    With ``end_lsn`` the range ends there, whatever a clock says. The two bounds are the only values that reach the driver; as literals they prune the second scan.
     A range that ends before it starts is an error, or a flagged full load if that is allowed.
     """
     if last_time is None:
         return full_load(table) if always_flag else table
     from_lsn, to_lsn = range_between(log, time_literal(log, last_time), now, on_no_change)
+    to_lsn = to_lsn if end_lsn is None else end_lsn
     if from_lsn is None or to_lsn is None:
         return full_load(table).where(F.lit(False))
     try:
-        return net_changes(log, from_lsn, to_lsn, table.columns)
+        return net_changes(log, from_lsn, to_lsn, table.columns, keep_vanished=keep_vanished)
     except LsnRangeError:
         if not full_load_fallback:
             raise

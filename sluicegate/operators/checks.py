@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import DataFrame, Observation, functions as F, types as T
 
 from ..functions.types import quote
-from .incremental import state_text
+from .incremental import highest, state_text
 
 BAD_RECORD = "__bad_record"
 
@@ -27,7 +27,7 @@ def observed(
     if column:
         value = F.col(quote(column))
         measures += [
-            state_text(df.schema[column], F.max(value)).alias("watermark"),
+            state_text(df.schema[column], highest(df.schema[column])).alias("watermark"),
             F.count(F.when(value.isNull(), 1)).alias("null_watermarks"),
         ]
     if keys:

@@ -40,6 +40,13 @@ def state_text(field: T.StructField, value: Column) -> Column:
     return text.rowversion_hex(value) if isinstance(field.dataType, T.BinaryType) else value.cast("string")
 
 
+def highest(field: T.StructField) -> Column:
+    """The largest watermark. NaN is no watermark: it would be above all others for ever."""
+    value = F.col(quote(field.name))
+    is_float = isinstance(field.dataType, (T.DoubleType, T.FloatType))
+    return F.max(F.when(~F.isnan(value), value) if is_float else value)
+
+
 def since(df: DataFrame, column: str, state: str | None) -> DataFrame:
     """Rows at or after the state. The boundary row comes again, so nothing written at the same
     watermark is lost; without a state every row qualifies, NULL watermarks included."""
@@ -63,17 +70,19 @@ def first_rows(
     watermark_field(df, column)
     order = [column, *(c for c in tie_break or [] if c != column)]
     spark = df.sparkSession
-    if n <= (heap_rows or min(HEAP_ROWS, MERGED_ROWS // spark.sparkContext.defaultParallelism)):
-        return df.orderBy(*_ascending(order)).limit(n)
-    if not tie_break:  # rows that share a watermark are told apart by their content
+    if not tie_break:  # rows that share a watermark are told apart by their content, in either way of taking them
         order.append(_ROW_HASH)
         df = df.withColumn(_ROW_HASH, F.xxhash64(*(F.col(quote(c)) for c in df.columns)))
+    if n <= (heap_rows or min(HEAP_ROWS, MERGED_ROWS // spark.sparkContext.defaultParallelism)):
+        return df.orderBy(*_ascending(order)).limit(n).drop(_ROW_HASH)
     ensure_checkpoint_dir(spark)
     band, rows_before = _band(df, column, n)
     keys = df.where(band).groupBy(*(F.col(quote(c)) for c in order)).agg(F.count(F.lit(1)).alias(_COPIES))
-    cut, copies = _cut(keys, order, n - rows_before, heap_rows or HEAP_ROWS)
+    cut, copies, all_copies = _cut(keys, order, n - rows_before, heap_rows or HEAP_ROWS)
     if cut is None:
         batch = df
+    elif copies == all_copies:  # always so with a unique key: one filter on one scan
+        batch = df.where(_before(df, order, cut) | _equal(df, order, cut))
     else:
         at_cut = df.where(_equal(df, order, cut)).limit(copies)
         batch = df.where(_before(df, order, cut)).unionByName(at_cut)
@@ -138,30 +147,34 @@ def _ascending(names: list[str]) -> list[Column]:
     return [F.col(quote(c)).asc_nulls_first() for c in names]
 
 
-def _cut(keys: DataFrame, order: list[str], n: int, heap_rows: int) -> tuple[list | None, int]:
-    """Order key of the n-th row and how many rows with just that key belong to the first n; None if
+def _cut(keys: DataFrame, order: list[str], n: int, heap_rows: int) -> tuple[list | None, int, int]:
+    """Order key of the n-th row, how many rows with just that key belong to the first n, and how many have it; None if
     there are no more than n rows.
 
     Distinct keys with their row counts are range-partitioned and written to the checkpoint folder,
     so counts and keys come from the same partitions even when executors are lost. The driver sees
     one count per partition; only the partition that holds the n-th key is looked into again.
     """
-    width = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = max(2, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ranged = keys.repartitionByRange(width, *_ascending(order)).withColumn(_PART, F.spark_partition_id()).checkpoint()
     parts = ranged.groupBy(_PART).agg(F.sum(_COPIES).alias("rows"), F.count(F.lit(1)).alias("keys")).orderBy(_PART)
     left = n
-    for part in parts.collect():
+    counted = parts.collect()
+    all_keys = sum(p["keys"] for p in counted)
+    for part in counted:
         if left <= part["rows"]:
             break
         left -= part["rows"]
     else:
-        return None, 0
+        return None, 0, 0
     inside = ranged.where(F.col(_PART) == part[_PART]).drop(_PART)
     if part["keys"] > max(heap_rows, 1):
+        if part["keys"] == all_keys:
+            raise JobError("The order keys of the limited pull cannot be dealt out in ranges.")
         return _cut(inside, order, left, heap_rows)
     seen = F.sum(_COPIES).over(Window.orderBy(*_ascending(order)).rowsBetween(Window.unboundedPreceding, 0))
     hit = inside.withColumn("__seen", seen).where(F.col("__seen") >= left).orderBy("__seen").limit(1).collect()[0]
-    return [hit[c] for c in order], left - (hit["__seen"] - hit[_COPIES])
+    return [hit[c] for c in order], left - (hit["__seen"] - hit[_COPIES]), hit[_COPIES]
 
 
 def _cut_literal(df: DataFrame, name: str, value) -> Column:
@@ -213,6 +226,10 @@ def _state_value(field: T.StructField, state: str):
 
 def check_progress(previous: str | None, new: str | None, rows: int, limit: int | None) -> None:
     """A full batch that ends where it began would be pulled again for ever."""
+    if limit and rows == limit and new is None:
+        raise StuckWatermarkError(
+            f"All {rows} rows of the limited pull have no watermark; raise the limit above the number of such rows."
+        )
     if limit and previous is not None and rows == limit and previous == new:
         raise StuckWatermarkError(
             f"All {rows} rows of the limited pull share the watermark {new}; raise the limit above the number "

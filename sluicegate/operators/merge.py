@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,16 +11,40 @@ from ..functions.types import quote
 from .cdc import IS_DELETED
 
 
+def _by_key(base: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+    """``__old`` and ``__new`` row of every key of either side, NULL where there is none.
+
+    Each side is read and moved once. A new row without a whole key fails the merge, as it would be added again each
+    time; such rows of ``base`` stay.
+    """
+    sides = []
+    for rows, row in ((base, "__old"), (new, "__new")):
+        named = [F.col(quote(k)).alias(f"{row}{i}") for i, k in enumerate(keys)]
+        whole = F.struct(*(F.col(quote(c)) for c in rows.columns))
+        if row == "__new":
+            keyless = reduce(or_, (F.col(quote(k)).isNull() for k in keys))
+            whole = F.when(keyless, F.raise_error(F.lit(f"A row to be merged has a NULL in its key {keys}."))).otherwise(whole)
+        sides.append(rows.select(*named, whole.alias(row)))
+    same = reduce(and_, (F.col(f"__old{i}") == F.col(f"__new{i}") for i in range(len(keys))))
+    return sides[0].join(sides[1], same, "full_outer")
+
+
+def _present(met: DataFrame, columns: list[str]) -> DataFrame:
+    has_new = F.col("__new").isNotNull()
+    old, new = F.col("__old"), F.col("__new")
+    return met.select(*(F.when(has_new, new.getField(c)).otherwise(old.getField(c)).alias(c) for c in columns))
+
+
 def upsert(base: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``base`` with the rows of ``new`` put in by key; ``new`` holds each key once."""
-    return base.join(new.select(*(F.col(quote(k)) for k in keys)), on=keys, how="left_anti").unionByName(new)
+    """``base`` with the rows of ``new`` put in by key; each side holds a key once."""
+    return _present(_by_key(base, new, keys), base.columns)
 
 
 def apply_changes(base: DataFrame, net: DataFrame, keys: list[str]) -> DataFrame:
-    """``base`` after net changes: deleted keys are gone, all others have their new row."""
-    kept = base.join(net.select(*(F.col(quote(k)) for k in keys)), on=keys, how="left_anti")
-    arrived = net.where(F.col(IS_DELETED) == 0).select(*(F.col(quote(c)) for c in base.columns))
-    return kept.unionByName(arrived)
+    """``base`` after net changes: deleted keys are gone, all others have their new row. Keys as in ``upsert``."""
+    met = _by_key(base, net, keys)
+    gone = F.coalesce(F.col("__new").getField(IS_DELETED) == 1, F.lit(False))
+    return _present(met.where(~gone), base.columns)
 
 
 def merge_into(table: str, net: DataFrame, keys: list[str]) -> None:

@@ -16,7 +16,7 @@ from ..errors import JobError
 from ..functions.types import quote
 from ..operators import cdc, checks, incremental
 from ..operators.project import clean_nul_fields, select_columns, with_safe_names
-from ..sinks.columnar import write_parquet
+from ..sinks.columnar import remove, write_parquet
 from ..sinks.lines import MODES, write_lines
 from ..sinks.manifest import manifest, write_json
 from ..sinks.state import State, append_state, read_state
@@ -37,13 +37,13 @@ class JobResult:
     null_keys: int = 0
 
 
-def plan(spec: JobSpec, source, state: State) -> DataFrame:
-    """The rows of one run, lazily."""
+def plan(spec: JobSpec, source, state: State, end_lsn=None) -> DataFrame:
+    """The rows of one run, lazily. A change range ends at ``end_lsn``, the position its state is taken from."""
     if spec.query:
         return clean_nul_fields(select_columns(source.query(spec.query, timeout_s=spec.timeout_s), spec.columns))
     table = source.table(spec.schema, spec.table, read_uncommitted=spec.read_uncommitted, timeout_s=spec.timeout_s)
     if spec.cdc:
-        return _plan_changes(spec, source, table, state)
+        return _plan_changes(spec, source, table, state, end_lsn)
     if spec.watermark:
         incremental.watermark_field(table, spec.watermark)
         table = incremental.since(table, spec.watermark, state.last_fetched_row)
@@ -52,15 +52,16 @@ def plan(spec: JobSpec, source, state: State) -> DataFrame:
     return select_columns(table, spec.columns)
 
 
-def _plan_changes(spec: JobSpec, source, table: DataFrame, state: State) -> DataFrame:
+def _plan_changes(spec: JobSpec, source, table: DataFrame, state: State, end_lsn) -> DataFrame:
     if not spec.primary_key:
         raise JobError("Change capture needs a primary key.")
     changes = source.changes(spec.schema, spec.table, spec.primary_key)
     kind = changes.df.schema[changes.time].dataType
     now = F.current_timestamp() if isinstance(kind, T.TimestampType) else F.localtimestamp()
     return cdc.changes_since(
-        select_columns(table, spec.columns), changes, state.last_fetched_time, now, spec.cdc_full_load_fallback
-    )
+        select_columns(table, spec.columns), changes, state.last_fetched_time, now, spec.cdc_full_load_fallback,
+        end_lsn=end_lsn, keep_vanished=True,
+    )
 
 
 @contextmanager
@@ -105,8 +106,8 @@ def run_job(
     with time_limit(spark, spec.timeout_s):
         state = read_state(spark, f"{base}/state")
         run = state.run + 1
-        before = _state_before(spec, source, state)
-        planned = plan(spec, source, state)
+        end_lsn, before = _state_before(spec, source, state)
+        planned = plan(spec, source, state, end_lsn)
         key = [k for k in spec.primary_key if k in planned.columns]
         rows, seen = checks.observed(planned, _shown_watermark(spec), key)
         data_path = f"{base}/data/run={run}"
@@ -125,6 +126,8 @@ def run_job(
         document = manifest(rows.schema, spec.output, spec.incremental, spec.primary_key, about, native_types)
         write_json(spark, document, f"{base}/manifest/run={run}")
         if count == 0:
+            if not spec.query:
+                remove(spark, data_path)
             log.warning('Query result set is empty. Exported "0" rows to "%s".', spec.output)
         append_state(spark, f"{base}/state", new, count)
     kept = data_path if count or spec.query else None
@@ -144,18 +147,21 @@ def _shown_watermark(spec: JobSpec) -> str | None:
     return spec.watermark if spec.watermark and (not spec.columns or spec.watermark in spec.columns) else None
 
 
-def _state_before(spec: JobSpec, source, state: State) -> str | None:
-    """State values that are to be known before the scan starts."""
+def _state_before(spec: JobSpec, source, state: State) -> tuple:
+    """Where the run's change range ends, and the state, as far as they are to be known before the scan starts.
+
+    Both come from the log's last position in one look, so that what is committed meanwhile, or by a clock ahead of this
+    one, is neither read nor passed over.
+    """
     if spec.cdc:
         changes = source.changes(spec.schema, spec.table, spec.primary_key)
         since = cdc.time_literal(changes, state.last_fetched_time) if state.last_fetched_time else None
-        position = cdc.commit_time(changes, since)
-        return position.select(F.col("last_fetched_time").cast("string")).first()[0]
+        return cdc.last_position(changes, since)
     if spec.watermark and not spec.limit and (source.live or not _shown_watermark(spec)):
         table = source.table(spec.schema, spec.table)
         field = incremental.watermark_field(table, spec.watermark)
-        return table.agg(incremental.state_text(field, F.max(F.col(quote(spec.watermark))))).first()[0]
-    return None
+        return None, table.agg(incremental.state_text(field, incremental.highest(field))).first()[0]
+    return None, None
 
 
 def _state_after(spec: JobSpec, source, state: State, before: str | None, measured: dict, run: int) -> State:

@@ -98,6 +98,24 @@ def cdc_apply(spark, sf_dir):
     return merge.apply_changes(base, cdc.net_changes(log, from_lsn, to_lsn), ["user_id"])
 
 
+@registered(f"""
+WITH {SQL_LOG}
+SELECT user_id, value, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC) AS n FROM log) r
+WHERE n = 1 AND op <> 1
+""")
+def cdc_runs(spark, sf_dir):
+    """A snapshot and three runs after it, each from the position where the one before ended."""
+    log = change_log(spark, sf_dir)
+    first, last = log.df.agg(F.min("lsn"), F.max("lsn")).first()
+    ends = [first + (last - first) * i // 4 for i in range(1, 5)]
+    images = incremental.newest_per_key(log.df.where(F.col("lsn") <= ends[0]), ["user_id"], ["lsn"])
+    target = images.where("op <> 1").select("user_id", "value", "event_type")
+    for begin, end in zip(ends, ends[1:]):
+        target = merge.apply_changes(target, cdc.net_changes(log, begin, end, keep_vanished=True), ["user_id"])
+    return target
+
+
 @registered("SELECT o_orderkey, o_orderstatus, o_totalprice, 0 AS is_deleted FROM orders")
 def cdc_full_load(spark, sf_dir):
     """A range that ends before it starts, with the full load allowed."""
@@ -121,7 +139,7 @@ def cdc_state(spark, sf_dir):
 def stream_incremental(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     out = scratch_dir(spark, "stream-incremental")
-    stream = pull.file_stream(spark, sf_dir, schema, "events.parquet")
+    stream = pull.table_stream(spark, f"{sf_dir}/events.parquet", schema)
     pull.pull_new(stream, f"{out}/data", f"{out}/checkpoint").awaitTermination()
     return spark.read.schema(schema).parquet(f"{out}/data")
 
@@ -135,7 +153,7 @@ WHERE n = 1 AND op <> 1
 def stream_cdc(spark, sf_dir):
     log = change_log(spark, sf_dir)
     out = scratch_dir(spark, "stream-cdc")
-    stream = pull.file_stream(spark, sf_dir, table(spark, sf_dir, "events").schema, "events.parquet")
+    stream = pull.table_stream(spark, f"{sf_dir}/events.parquet", table(spark, sf_dir, "events").schema)
     op = F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "signup", 2).otherwise(4)
     changes = stream.select(F.col("event_id").alias("lsn"), "ts", "user_id", "value", "event_type", op.alias("op"))
     pull.apply_changes(changes, log, f"{out}/kept", f"{out}/checkpoint").awaitTermination()

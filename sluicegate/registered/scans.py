@@ -150,7 +150,11 @@ def query_semi_anti(spark, sf_dir):
     return run_query(spark, QUERY_SEMI_ANTI)
 
 
-@registered()
+@registered("""
+SELECT least(count(*), 5) AS n_rows, least(count(*), 5) AS n_fitting FROM customer WHERE c_mktsegment = 'MACHINERY'
+""")
 def query_any_n(spark, sf_dir):
+    """Which rows a limit without an order returns is open; how many they are and that they fit is not."""
     register_views(spark, sf_dir, ["customer"])
-    return run_query(spark, "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'MACHINERY' LIMIT 5;")
+    rows = run_query(spark, "SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment = 'MACHINERY' LIMIT 5;")
+    return rows.agg(F.count("*").alias("n_rows"), F.count_if(F.col("c_mktsegment") == "MACHINERY").alias("n_fitting"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.types import quote
 
@@ -24,6 +24,12 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*(partition_by or [])).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Takes away a folder of the store that Spark writes to."""
+    store_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(store_path, True)
+
+
 def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, **options: str) -> None:
     """A table stored by hash of its keys, so that merging changes by these keys moves the changes and
     not the table."""

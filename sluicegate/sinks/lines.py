@@ -33,6 +33,8 @@ def lines(df: DataFrame, mode: str = "selective") -> DataFrame:
     """
     if mode not in MODES:
         raise JobError(f'Unknown line mode "{mode}".')
+    if mode == "null_aware" and len(df.columns) == 1:
+        raise JobError("A NULL alone on a line cannot be told from no line; use another mode for a single column.")
     if mode == "selective":
         rendered = project_selective(df)
         return rendered.select(F.concat_ws(",", *_selective_fields(rendered)).alias("line"))

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.types import quote
 from ..operators.cdc import BEFORE_UPDATE, DELETE, IS_DELETED, ChangeLog
+from ..operators import merge
 from ..operators.incremental import newest_per_key
 
 
@@ -18,6 +19,15 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: st
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """The parquet files of a table as a stream, whether the table is a folder or a single file."""
+    store_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if store_path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(store_path).isDirectory():
+        return file_stream(spark, path, schema, files_per_batch=files_per_batch)
+    folder, name = path.rstrip("/").rsplit("/", 1)
+    return file_stream(spark, folder, schema, name, files_per_batch)
+
+
 def pull_new(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Everything that has arrived since the checkpoint, once each, then the query ends."""
     return (
@@ -65,11 +75,10 @@ def current_rows(kept: DataFrame, log: ChangeLog, base: DataFrame | None = None)
     """A target's present rows: the newest image of every key that is not deleted, and the rows of
     ``base`` no change has touched."""
     newest = latest_images(kept, log)
-    alive = newest.where(F.col(IS_DELETED) == 0).select(*(F.col(quote(c)) for c in log.payload))
     if base is None:
-        return alive
-    keys = newest.select(*(F.col(quote(k)) for k in log.keys))
-    return base.join(keys, on=log.keys, how="left_anti").unionByName(alive)
+        return newest.where(F.col(IS_DELETED) == 0).select(*(F.col(quote(c)) for c in log.payload))
+    net = newest.select(*(F.col(quote(c)) for c in [*log.payload, IS_DELETED]))
+    return merge.apply_changes(base, net, log.keys)
 
 
 def compact(kept: DataFrame, log: ChangeLog, path: str) -> None:

@@ -182,3 +182,26 @@ def test_reconcile_counts_both_sides(spark):
     copy = spark.createDataFrame([(1, "a"), (2, None), (4, "d")], "id int, v string")
     got = sorted(tuple(r) for r in merge.reconcile(source, copy).collect())
     assert got == [(1, "a", 2, 1), (3, "c", 1, 0), (4, "d", 0, 1)]
+
+
+def test_merging_moves_and_reads_each_side_once(spark, tmp_path):
+    spark.range(100).selectExpr("id AS k", "'old' AS v").write.parquet(f"{tmp_path}/base")
+    spark.range(50, 150).selectExpr("id AS k", "'new' AS v", "int(id % 2) AS is_deleted").write.parquet(f"{tmp_path}/net")
+    base, net = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("base", "net"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (merge.upsert(base, net.drop("is_deleted"), ["k"]), merge.apply_changes(base, net, ["k"])):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 2
+        rows = {r["k"]: r["v"] for r in merge.apply_changes(base, net, ["k"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert rows == {k: "old" if k < 50 else "new" for k in range(150) if k < 50 or k % 2 == 0}
+
+
+def test_new_rows_without_a_key_fail_the_merge(spark):
+    base = spark.createDataFrame([(None, "n"), (1, "a")], "k int, v string")
+    new = spark.createDataFrame([(1, "b")], "k int, v string")
+    assert sorted(map(str, merge.upsert(base, new, ["k"]).collect())) == ["Row(k=1, v='b')", "Row(k=None, v='n')"]
+    with pytest.raises(Exception, match="NULL in its key"):
+        merge.upsert(base, spark.createDataFrame([(None, "n2")], "k int, v string"), ["k"]).collect()

@@ -130,3 +130,20 @@ def test_newest_per_key_with_a_hot_key(spark):
     df = spark.createDataFrame(rows, "k int, wm int, v string").repartition(7)
     got = {r.k: (r.wm, r.v) for r in incremental.newest_per_key(df, ["k"], ["wm"]).collect()}
     assert got == {k: (wm, v) for k, wm, v in rows}
+
+
+@pytest.mark.parametrize("n", [1, 7, 40, 99, 100, 150])
+def test_both_ways_of_a_limit_take_the_same_rows(spark, n):
+    rows = [(i % 3 or None, f"v{i % 20}") for i in range(100)] + [(2, "copy")] * 5
+    df = spark.createDataFrame(rows, "w int, v string")
+    small, large = (incremental.first_rows(df, "w", n, heap_rows=h) for h in (1000, 3))
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect())) and small.count() == min(n, 105)
+
+
+def test_one_partition_is_no_dead_end(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        df = spark.range(50).selectExpr("id AS w")
+        assert sorted(r.w for r in incremental.first_rows(df, "w", 20, ["w"], heap_rows=3).collect()) == list(range(20))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

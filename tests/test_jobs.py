@@ -1,5 +1,6 @@
 import json
 import logging
+import os
 import time
 
 import fixtures
@@ -217,3 +218,55 @@ def test_options(spark):
     many = jobs_from_options({"db": {"queryTimeout": 9}, "tables": [base, {**base, "queryTimeout": 3, "enabled": False}]})
     assert [(j.timeout_s, j.enabled) for j in many] == [(9, True), (3, False)]
     assert json.dumps(jobs_from_options(base)[0].columns) == "[]"
+
+
+def change_rows(spark, *rows):
+    log = spark.createDataFrame(list(rows), "lsn long, op int, id int, name string, second double")
+    second = "timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, second)"
+    return log.withColumn("ts", F.expr(second)).drop("second")
+
+
+def test_changes_of_a_clock_ahead_are_not_passed_over(spark, folder):
+    source, out = folder
+    ahead = 3e9  # seconds after 2024: far beyond this machine's clock
+    spark.createDataFrame([(1, "uno")], "id int, name string").write.parquet(f"{source.root}/t.parquet")
+    change_rows(spark, (1, 2, 1, "uno", 1.0)).write.parquet(f"{source.root}/t_changes.parquet")
+    spec = JobSpec("t", table="t", primary_key=["id"], cdc=True)
+    run_job(spark, spec, source, out)
+    change_rows(spark, (2, 2, 2, "two", ahead), (3, 2, 3, "three", ahead + 1)).write.mode("append").parquet(f"{source.root}/t_changes.parquet")
+    second = run_job(spark, spec, source, out)
+    assert sorted(r.id for r in spark.read.parquet(second.data_path).collect()) == [1, 2, 3]
+    assert run_job(spark, spec, source, out).rows == 1  # the last position again
+
+
+def test_delete_of_a_delivered_insert_is_sent(spark, folder):
+    source, out = folder
+    spark.createDataFrame([(1, "uno")], "id int, name string").write.parquet(f"{source.root}/t.parquet")
+    change_rows(spark, (1, 2, 1, "uno", 1.0), (2, 2, 2, "two", 2.0)).write.parquet(f"{source.root}/t_changes.parquet")
+    spec = JobSpec("t", table="t", primary_key=["id"], cdc=True)
+    run_job(spark, spec, source, out)
+    change_rows(spark, (3, 1, 2, "two", 3.0)).write.mode("append").parquet(f"{source.root}/t_changes.parquet")
+    second = run_job(spark, spec, source, out)
+    assert [(r.id, r.is_deleted) for r in spark.read.parquet(second.data_path).collect()] == [(2, 1)]
+
+
+def test_limited_pull_of_null_watermarks_is_an_error(spark, folder):
+    source, out = folder
+    source.table = lambda schema, name, **kw: spark.createDataFrame([(i, None) for i in range(4)] + [(9, 1)], "id int, w int")
+    with pytest.raises(StuckWatermarkError):
+        run_job(spark, JobSpec("x", table="t", watermark="w", limit=3), source, out)
+
+
+def test_nan_is_no_watermark(spark, folder):
+    source, out = folder
+    source.table = lambda schema, name, **kw: spark.createDataFrame([(1.5,), (float("nan"),), (2.5,)], "w double")
+    spec = JobSpec("x", table="t", watermark="w")
+    assert run_job(spark, spec, source, out).state.last_fetched_row == "2.5"
+    assert run_job(spark, spec, source, out).state.last_fetched_row == "2.5"
+
+
+def test_empty_table_job_leaves_no_data(spark, folder):
+    source, out = folder
+    source.table = lambda schema, name, **kw: fixtures.numbered(spark).where("false")
+    result = run_job(spark, JobSpec("e", table="numbered"), source, out)
+    assert result.data_path is None and not os.path.exists(f"{out}/e/data/run=1") and os.path.exists(result.manifest_path)

@@ -197,3 +197,8 @@ def test_last_state_counts(spark, tmp_path):
     assert read_state(spark, path) == State(2, "6", "2024-01-01 00:00:00")
     with pytest.raises(AnalysisException):
         spark.read.json(str(tmp_path / "none"))
+
+
+def test_one_null_aware_column_is_refused(spark):
+    with pytest.raises(JobError, match="single column"):
+        lines(spark.createDataFrame([(None,)], "a string"), "null_aware")

@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from sluicegate.operators.cdc import ChangeLog
+from sluicegate.registered import QUERIES
 from sluicegate.streaming import pull
 
 
@@ -66,3 +67,14 @@ def test_replayed_batch_counts_once(spark, tmp_path):
         stream = pull.file_stream(spark, source, full.schema)
         pull.apply_changes(stream, log, kept, str(tmp_path / attempt)).awaitTermination()
     assert [(r.id, r.name) for r in spark.read.parquet(kept).collect()] == [(7, "b")]
+
+
+def test_streams_over_tables_in_folders(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4).write.parquet(f"{tmp_path}/in/events.parquet")
+    for name in ("stream_incremental", "stream_cdc"):
+        one, many = (sorted(map(str, QUERIES[name](spark, d).collect())) for d in ("/root/testdata/sf0.001", f"{tmp_path}/in"))
+        assert one == many
+    stream = pull.table_stream(spark, f"{tmp_path}/in/events.parquet", events.schema, files_per_batch=1)
+    pull.pull_new(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == events.count()
