@@ -36,8 +36,16 @@ def state_literal(field: T.StructField, state: str) -> Column:
 
 def state_text(field: T.StructField, value: Column) -> Column:
     """A watermark as state text; ``state_literal`` reads it back. Spark makes the text, so that a time
-    does not pass through the driver's own zone."""
-    return text.rowversion_hex(value) if isinstance(field.dataType, T.BinaryType) else value.cast("string")
+    does not pass through the driver's own zone; an instant is written in UTC with its offset, so that it
+    means the same to a session of another zone."""
+    if isinstance(field.dataType, T.BinaryType):
+        return text.rowversion_hex(value)
+    if isinstance(field.dataType, T.TimestampType):
+        seconds = (F.unix_micros(value).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+        zero = F.lit(0)
+        at = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+        return F.concat(at.cast("string"), F.lit("+00:00"))
+    return value.cast("string")
 
 
 def highest(field: T.StructField) -> Column:
@@ -220,7 +228,8 @@ def _state_value(field: T.StructField, state: str):
     if isinstance(field.dataType, T.BinaryType):
         return int(state, 16)
     if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return dt.datetime.fromisoformat(state)
+        at = dt.datetime.fromisoformat(state)  # states of earlier releases have no offset
+        return at if at.tzinfo else at.replace(tzinfo=dt.timezone.utc)
     return Decimal(state)
 
 

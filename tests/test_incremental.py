@@ -55,7 +55,7 @@ def test_unfit_watermark_columns_are_told_apart(spark):
 @pytest.mark.parametrize(
     "kind, stored, text",
     [("int", "7", "7"), ("decimal(10,2)", "6.6", "6.60"), ("timestamp_ntz", "2021-01-05 13:43:27.123", None),
-     ("timestamp_ntz", "2012-01-10 10:25:00", None), ("timestamp", "2012-01-10 10:25:00.000001", None), ("date", "2020-02-01", None),
+     ("timestamp_ntz", "2012-01-10 10:25:00", None), ("timestamp", "2012-01-10 10:25:00.000001", "2012-01-10 10:25:00.000001+00:00"), ("date", "2020-02-01", None),
      ("double", "12345678.5", "1.23456785E7")],
 )
 def test_state_text_and_back(spark, kind, stored, text):
@@ -147,3 +147,19 @@ def test_one_partition_is_no_dead_end(spark):
         assert sorted(r.w for r in incremental.first_rows(df, "w", 20, ["w"], heap_rows=3).collect()) == list(range(20))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+@pytest.mark.parametrize("micros", [1_698_541_200_000_000, 1_698_544_800_000_000, 1_698_544_800_000_001])
+def test_instants_mean_the_same_in_every_zone(spark, micros):
+    """02:00 and 03:00 in Berlin are one wall time when the clocks go back."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        df = spark.range(1).select(F.timestamp_micros(F.lit(micros)).alias("w"))
+        shown = df.select(incremental.state_text(df.schema["w"], F.col("w"))).first()[0]
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        either_side = spark.range(3).select(F.timestamp_micros(F.lit(micros) + F.col("id") - 1).alias("w"))
+        kept = incremental.since(either_side, "w", shown).select(F.unix_micros("w")).collect()
+        assert sorted(r[0] for r in kept) == [micros, micros + 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
