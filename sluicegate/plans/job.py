@@ -20,7 +20,7 @@ from ..sinks.columnar import remove, write_parquet
 from ..sinks.lines import MODES, write_lines
 from ..sinks.manifest import manifest, write_json
 from ..sinks.state import State, append_state, read_state
-from ..sources.tables import scan
+from ..sources.tables import scan, with_distinct_names
 from ..spec import JobSpec
 
 log = logging.getLogger("sluicegate")
@@ -40,7 +40,8 @@ class JobResult:
 def plan(spec: JobSpec, source, state: State, end_lsn=None) -> DataFrame:
     """The rows of one run, lazily. A change range ends at ``end_lsn``, the position its state is taken from."""
     if spec.query:
-        return clean_nul_fields(select_columns(source.query(spec.query, timeout_s=spec.timeout_s), spec.columns))
+        rows = with_distinct_names(source.query(spec.query, timeout_s=spec.timeout_s))
+        return clean_nul_fields(select_columns(rows, spec.columns))
     table = source.table(spec.schema, spec.table, read_uncommitted=spec.read_uncommitted, timeout_s=spec.timeout_s)
     if spec.cdc:
         return _plan_changes(spec, source, table, state, end_lsn)

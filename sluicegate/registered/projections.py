@@ -135,19 +135,15 @@ def sql_type_name(number: str) -> str:
     return f"{SQL_TYPE_NAMES}[({number}) % {len(TYPE_NAMES)} + 1]"
 
 
-def _sql_list(names) -> str:
-    return ", ".join(f"'{n}'" for n in names)
-
-
-SQL_BASE_TYPE = (
-    "CASE "
-    + " ".join(f"WHEN lower(t) IN ({_sql_list(names)}) THEN '{base}'" for base, names in types.BASE_TYPES.items())
-    + " ELSE 'STRING' END"
-)
-
-
 @registered(f"""
-SELECT p_partkey, t AS type, {SQL_BASE_TYPE} AS base_type
+SELECT p_partkey, t AS type,
+       CASE lower(t)
+         WHEN 'date' THEN 'DATE' WHEN 'datetime' THEN 'TIMESTAMP' WHEN 'datetime2' THEN 'TIMESTAMP'
+         WHEN 'smalldatetime' THEN 'TIMESTAMP' WHEN 'datetimeoffset' THEN 'TIMESTAMP' WHEN 'integer' THEN 'INTEGER'
+         WHEN 'int' THEN 'INTEGER' WHEN 'smallint' THEN 'INTEGER' WHEN 'tinyint' THEN 'INTEGER' WHEN 'bigint' THEN 'INTEGER'
+         WHEN 'numeric' THEN 'NUMERIC' WHEN 'decimal' THEN 'NUMERIC' WHEN 'money' THEN 'NUMERIC'
+         WHEN 'smallmoney' THEN 'NUMERIC' WHEN 'real' THEN 'FLOAT' WHEN 'float' THEN 'FLOAT' WHEN 'bit' THEN 'BOOLEAN'
+         ELSE 'STRING' END AS base_type
 FROM (SELECT p_partkey, {sql_type_name('p_partkey')} AS t FROM part) named
 """)
 def base_type(spark, sf_dir):

@@ -73,17 +73,18 @@ def load_table_ranges(
 
 
 def change_log(spark: SparkSession, options: dict[str, str], schema: str, name: str, keys: list[str]) -> ChangeLog:
-    """Change table of a tracked table, with commit times out of the server's position list."""
+    """Change table of a tracked table, with commit times out of the server's position list. The log's own columns have
+    names that a tracked column is not likely to have."""
     times = load_table(spark, options, "cdc", "lsn_time_mapping").select(
-        F.col("start_lsn").alias("lsn"), F.col("tran_end_time").alias("ts")
+        F.col("start_lsn").alias("__lsn"), F.col("tran_end_time").alias("__ts")
     )
     changes = load_table(spark, options, "cdc", f"{schema}_{name}_CT")
-    renamed = {"__$start_lsn": "lsn", "__$seqval": "seq", "__$operation": "op"}
+    renamed = {"__$start_lsn": "__lsn", "__$seqval": "__seq", "__$operation": "__op"}
     payload = [c for c in changes.columns if not c.startswith("__$")]
     log = changes.select(
         *(F.col(quote(c)) for c in payload), *(F.col(quote(old)).alias(new) for old, new in renamed.items())
-    ).join(times, "lsn")
-    return ChangeLog(log, keys, sequence=["seq"], positions=times)
+    ).join(times, "__lsn")
+    return ChangeLog(log, keys, lsn="__lsn", op="__op", time="__ts", sequence=["__seq"], positions=times)
 
 
 def catalog_settings(name: str, url: str, **options: str) -> dict[str, str]:

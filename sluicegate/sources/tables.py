@@ -145,8 +145,12 @@ def run_query(spark: SparkSession, sql: str) -> DataFrame:
 
 def describe_query(spark: SparkSession, sql: str) -> list[tuple[str, str]]:
     """Names and types of a query's columns, from its plan; no row is read."""
-    fields = run_query(spark, sql).schema.fields
-    names = [f.name for f in fields]
+    return [(f.name, f.dataType.simpleString()) for f in with_distinct_names(run_query(spark, sql)).schema.fields]
+
+
+def with_distinct_names(df: DataFrame) -> DataFrame:
+    """``df``, once its columns are known to have names that tell them apart."""
+    names = df.columns
     if "" in names or len({n.lower() for n in names}) < len(names):
         raise JobError(f"The query's columns need distinct names: {names}")
-    return [(f.name, f.dataType.simpleString()) for f in fields]
+    return df

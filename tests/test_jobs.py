@@ -270,3 +270,8 @@ def test_empty_table_job_leaves_no_data(spark, folder):
     source.table = lambda schema, name, **kw: fixtures.numbered(spark).where("false")
     result = run_job(spark, JobSpec("e", table="numbered"), source, out)
     assert result.data_path is None and not os.path.exists(f"{out}/e/data/run=1") and os.path.exists(result.manifest_path)
+
+
+def test_query_jobs_need_distinct_names(spark):
+    with pytest.raises(JobError, match="distinct names"):
+        run_job(spark, JobSpec("q", query="SELECT 1 AS a, 2 AS A"), CatalogSource(spark), "/tmp/unused")

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from sluicegate.functions.types import source_type, takes_null
+from sluicegate.operators import cdc
 from sluicegate.sinks.manifest import manifest
 from sluicegate.sources import jdbc
 from sluicegate.sources.tables import FolderSource, JdbcSource, scan
@@ -84,3 +85,17 @@ def test_folder_with_schemas_and_formats(spark, tmp_path):
     spark.range(3).write.json(f"{tmp_path}/dbo/t.json")
     source = FolderSource(spark, str(tmp_path), format="json", with_schema=True)
     assert scan(source, "dbo", "t", ["id"]).agg(F.sum("id")).first()[0] == 3
+
+
+def test_tracked_columns_may_have_the_names_of_log_columns(spark, monkeypatch):
+    tables = {
+        "lsn_time_mapping": spark.sql("SELECT id AS start_lsn, timestamp_ntz '2024-01-01 00:00:00' AS tran_end_time FROM range(5)"),
+        "dbo_t_CT": spark.sql(
+            "SELECT id AS `__$start_lsn`, id AS `__$seqval`, 2 AS `__$operation`, id AS ts, 'x' AS lsn, 'y' AS op, 'z' AS seq FROM range(3)"
+        ),
+    }
+    monkeypatch.setattr(jdbc, "load_table", lambda spark, options, schema, name: tables[name])
+    log = jdbc.change_log(spark, {}, "dbo", "t", ["ts"])
+    assert sorted(log.payload) == ["lsn", "op", "seq", "ts"]
+    rows = cdc.net_changes(log, 1, 2).collect()
+    assert sorted((r.ts, r.lsn, r.op, r.seq, r.is_deleted) for r in rows) == [(1, "x", "y", "z", 0), (2, "x", "y", "z", 0)]
