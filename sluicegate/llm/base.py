@@ -20,11 +20,16 @@ ORACLES: dict[str, str] = {}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of a batch of rows that goes to Python at once. Texts may be long, and a batch is held several times over.
+BATCH_BYTES = 8 << 20
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers of an application, wherever it was started from."""
+    """Sends this package to the Python workers of an application, wherever it was started from, and bounds what they
+    are handed at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

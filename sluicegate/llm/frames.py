@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEKABLE_MAGIC, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 FOOTER = struct.Struct("<IBI")
 SEEK_ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
-#: Pieces of text a worker remembers the ids of.
-REMEMBERED = 1_500_000
+#: Pieces of text a worker remembers the ids of (about 100 MB), also while it serves other stages.
+REMEMBERED = 400_000
 TEXTS_AT_ONCE, WORDS_AT_ONCE = 256, 1_000
 #: Text around one space and a word, or white space; the tokenizer never joins characters across these.
 PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
