@@ -230,9 +230,10 @@ def _windows(rows: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield tuple(np.concatenate(c) for c in zip(*held))
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Toxicity:
+def train(texts: list[str], labels: np.ndarray, seed: int = 7, shift: float = 0.0) -> Toxicity:
     """Network from labelled texts. A document's loss is that of its most toxic window, chosen anew in each round; the
-    first choice, and the start of the words' vectors, come from the words' log odds in toxic documents."""
+    first choice, and the start of the words' vectors, come from the words' log odds in toxic documents. ``shift`` is
+    added to the log odds of all texts in the end: by how much those of being toxic are higher where texts come from."""
     n1 = int(labels.sum())
     model = Toxicity(constant=n1 / len(labels) if len(labels) else 0.5)
     if not 0 < n1 < len(labels):
@@ -310,6 +311,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7) -> Toxicity:
             np.add.at(d_rows, back.ravel(), (d_x * mask[:, :, None]).transpose(1, 0, 2).reshape(-1, table.shape[1]))
             np.add.at(model.words, word_place[used], -10 * adam.rate * d_rows[:, :WORD_DIMS])
             np.add.at(model.chars, grams, (-10 * adam.rate * d_rows[:, WORD_DIMS:] * share[:, None])[owner_of])
+    model.network.w["o0"] += np.float32(shift)
     return model
 
 
@@ -331,28 +333,33 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most ``size`` documents of either label that may be learned from, chosen by hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
+    """Texts and labels of at most ``size`` documents of either label that may be learned from, chosen by hash of the id,
+    and what the log odds of being toxic have lost by the choice, from the counts of all labels that may be learned from."""
     sound = labels.filter(~held_out(labels["doc_id"]) & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-    each = [
-        sound.filter(F.col("toxic") == y).select("doc_id", F.col("toxic").cast("int").alias("y")).distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(size) for y in (0, 1)
-    ]
+    eligible = sound.select("doc_id", F.col("toxic").cast("int").alias("y")).distinct()
+    counts = {r["y"]: r["count"] for r in eligible.groupBy("y").count().collect()}
+    each = [eligible.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size) for y in (0, 1)]
     picked = stored(each[0].union(each[1]).withColumnRenamed("doc_id", "picked_id"), "toxic-sample")
     texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(picked), F.col("doc_id") == F.col("picked_id"))
     one = texts.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     rows = sorted(one.collect(), key=lambda r: (r["doc_id"], r["y"]))
-    return [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64)
+    left_out = [math.log(counts[y] / min(counts[y], size)) if y in counts else 0.0 for y in (0, 1)]
+    return [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64), left_out[1] - left_out[0]
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, size: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every row of ``docs``.
 
+    Scores are probabilities at the share of toxic labels among all that may be learned from, however few (``size``) of
+    either label the network sees.
+
     NULL and empty texts have one window without words and the score the network gives it. NULL or other labels are not
     learned. With no label of one class the score is the other's share, with none it is 0.5. NULL id: scored, not held
     out. Repeated rows: each scored; learned once. Empty table: no rows. Other columns are not read.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(*sample(docs, labels)))
+    texts, known, shift = sample(docs, labels, size)
+    model = docs.sparkSession.sparkContext.broadcast(train(texts, known, shift=shift))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:

@@ -130,6 +130,22 @@ def test_one_bad_window_anywhere_in_a_text_decides():
         toxicity.REMEMBERED = forgetful
 
 
+def test_scores_of_a_bounded_sample_keep_the_share_of_toxic_labels(spark):
+    """Of mild texts a twentieth is toxic and of harsh ones three tenths; the smaller sample has as many of either label."""
+    rows = [(i, "mild words about the garden" if i % 5 else "harsh words about the rival") for i in range(1600)]
+    seen = Counter()
+    labels = []
+    for i, text in rows:
+        seen[text] += 1
+        labels.append((i, int(seen[text] % 20 == 0 if i % 5 else seen[text] % 10 < 3)))
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    for size in (2_500, 80):
+        scores = {r["text"]: r["score"] for r in toxicity.classify(docs, marks, size=size).join(docs, "doc_id").collect()}
+        assert scores[rows[1][1]] == pytest.approx(0.05, abs=0.04) and scores[rows[0][1]] == pytest.approx(0.3, abs=0.12)
+    texts, known, shift = toxicity.sample(docs, marks, 80)
+    assert len(texts) == 160 and known.sum() == 80 and shift < -1.5 and toxicity.sample(docs, marks)[2] == 0
+
+
 def plain_losses(texts):
     """Symbol counts of each order in dictionaries."""
     counts = Counter()
