@@ -1,7 +1,8 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling over character and word inputs.
 
 The network is trained in numpy on a bounded sample of labelled documents. A text is scored by all its overlapping windows,
-half a window apart, and is as toxic as its most toxic window. A word enters with a vector of its own, if the sample knew
+half a window apart, and is as toxic as its most toxic window. What has no white space for long counts as overlapping
+pieces, each a word of its own. A word enters with a vector of its own, if the sample knew
 it, and with the mean of the vectors of its character n-grams.
 """
 
@@ -29,9 +30,24 @@ SAMPLE, KNOWN_WORDS, LEAST_DOCS = 2_500, 30_000, 3
 ROUNDS, MOST_ROUNDS, LEAST_STEPS, BATCH, RATE = 5, 40, 240, 64, 0.01
 #: Words whose inputs a worker remembers, windows scored together, and words prepared together in training.
 REMEMBERED, WINDOWS_AT_ONCE, WORDS_AT_ONCE = 500_000, 2_048, 20_000
+#: Characters up to which a chunk of text between white space is one word; longer ones (scripts without white space, markup)
+#: are cut into pieces of so many characters, so far apart, and overlap by more than the longest n-gram.
+LONGEST_WORD, PIECE, PIECE_STEP = 48, 16, 11
 EDGES = re.compile(r"^[^\w]+|[^\w]+$")
 
 
+def chunks_of(text: str) -> list[str]:
+    """Chunks of a text that take places of their own in its windows; together they hold all of it but white space."""
+    chunks = text.split()
+    if all(len(c) <= LONGEST_WORD for c in chunks):
+        return chunks
+    return [p for c in chunks for p in ([c] if len(c) <= LONGEST_WORD else _pieces(c))]
+
+
+def _pieces(chunk: str) -> list[str]:
+    return [chunk[k : k + PIECE] for k in range(0, len(chunk) - PIECE + PIECE_STEP, PIECE_STEP)]
+
+
 def word_of(chunk: str) -> str:
     """What counts as the word in a chunk of text: lower case, without signs at its ends."""
     return EDGES.sub("", chunk.lower())
@@ -39,7 +55,7 @@ def word_of(chunk: str) -> str:
 
 def n_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words' character n-grams, and the place of the word that each belongs to."""
-    encoded = [b"\x02" + w.encode()[:200] + b"\x03" for w in words]
+    encoded = [b"\x02" + w.encode() + b"\x03" for w in words]
     sizes = np.fromiter(map(len, encoded), np.int64, len(encoded))
     flat = np.frombuffer(b"".join(encoded), np.uint8).astype(np.uint64)
     owner, ends = np.repeat(np.arange(len(words)), sizes), np.repeat(np.cumsum(sizes), sizes)
@@ -204,7 +220,7 @@ class Toxicity:
             return np.full(len(texts), self.constant)
         out = np.zeros(len(texts))
         for begin in range(0, len(texts), 256):
-            rows = self._look_up([(t or "").split() for t in texts[begin : begin + 256]])
+            rows = self._look_up([chunks_of(t or "") for t in texts[begin : begin + 256]])
             best = np.full(len(rows), -np.inf)
             for owner, places in _windows(rows):
                 x = self.inputs[np.maximum(places, 0)].transpose(1, 0, 2)
@@ -242,7 +258,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 7, shift: float = 0.
     of_chunk: dict[str, int] = {}
     rows: list[np.ndarray] = []
     for text in texts:
-        chunks = text.split()
+        chunks = chunks_of(text)
         of_chunk.update((c, at.setdefault(word_of(c), len(at))) for c in chunks if c not in of_chunk)
         rows.append(np.fromiter(map(of_chunk.__getitem__, chunks), np.int32, len(chunks)))
     del of_chunk

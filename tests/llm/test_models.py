@@ -146,6 +146,22 @@ def test_scores_of_a_bounded_sample_keep_the_share_of_toxic_labels(spark):
     assert len(texts) == 160 and known.sum() == 80 and shift < -1.5 and toxicity.sample(docs, marks)[2] == 0
 
 
+def test_texts_without_spaces_are_scored_to_their_end():
+    for n in (48, 49, 59, 60, 61, 500):
+        text = "".join(chr(0x4E00 + i) for i in range(n))
+        chunks = toxicity.chunks_of(f"a {text} b")
+        assert [chunks[0], chunks[-1]] == ["a", "b"] and all(len(c) <= toxicity.LONGEST_WORD for c in chunks)
+        grams = {text[i : i + 5] for i in range(n - 4)}
+        assert grams == {c[i : i + 5] for c in chunks[1:-1] for i in range(len(c) - 4)}
+    draw = np.random.default_rng(5)
+    plain = ["".join(chr(0x4E00 + c) for c in draw.integers(0, 60, 530)) for _ in range(120)]
+    bad = "".join(chr(0x6E00 + 7 * i) for i in range(30))
+    model = toxicity.train(plain + [p[:k] + bad + p[k:] for p, k in zip(plain, draw.integers(0, 500, 120))], np.repeat([0, 1], 120))
+    filler = "".join(plain[:10])
+    low, *high = model.scores([filler, filler + bad + filler[:50], filler[:1500] + bad + filler])
+    assert low < 0.3 < 0.6 < min(high)
+
+
 def plain_losses(texts):
     """Symbol counts of each order in dictionaries."""
     counts = Counter()
