@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Length of the periods by which intervals and captures meet.
 PERIOD_DAYS = 30
-#: Path segments that are looked up below a host.
+#: Path segments that ``patterns_of`` gives below a host if nothing else is asked for.
 PATH_DEPTH = 3
 
 
@@ -29,13 +29,13 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
 
 
-def patterns_of(url: Column) -> Column:
-    """Patterns that would cover a URL: host and parent domains, and the host with up to ``PATH_DEPTH`` path segments."""
+def patterns_of(url: Column, path_depth: int = PATH_DEPTH) -> Column:
+    """Patterns that would cover a URL: host and parent domains, and the host with up to ``path_depth`` path segments."""
     labels = F.split(host_of(url), "[.]")
     first = F.sequence(F.lit(1), F.greatest(F.size(labels) - 1, F.lit(1)))
     domains = F.transform(first, lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.filter(F.split(path_of(url), "/"), lambda p: p != "")
-    depth = F.least(F.size(parts), F.lit(PATH_DEPTH))
+    depth = F.least(F.size(parts), F.lit(path_depth))
     lengths = F.when(depth > 0, F.sequence(F.lit(1), depth)).otherwise(F.array().cast("array<int>"))
     paths = F.transform(lengths, lambda n: F.concat_ws("/", host_of(url), F.array_join(F.slice(parts, 1, n), "/")))
     return F.when(host_of(url).isNotNull(), F.array_distinct(F.concat(domains, paths)))
@@ -63,10 +63,12 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     The decisive entry is the active one of longest pattern (the greater by name among equally long ones); without any the
     three last columns are NULL and the page is not blocked. NULL or hostless URLs and NULL times: not blocked. Repeated
-    rows: each is judged. Empty tables: no rows, or nothing blocked. Other columns are not read.
+    rows: each is judged. Paths are looked up as deep as the list has any. Empty tables: no rows, or nothing blocked. Other columns are not read.
     """
+    segments = F.size(F.split("pattern", "/")) - 1
+    deepest = entries.filter("pattern IS NOT NULL").agg(F.max(segments).alias("n")).first()["n"] or 0
     sure = captures.select("url", "fetched_at").filter("url IS NOT NULL AND fetched_at IS NOT NULL").distinct()
-    looked = sure.select("url", "fetched_at", F.explode(patterns_of(F.col("url"))).alias("pattern"))
+    looked = sure.select("url", "fetched_at", F.explode(patterns_of(F.col("url"), deepest)).alias("pattern"))
     looked = looked.withColumn("period", period(F.col("fetched_at")))
     ends = captures.agg(F.max(period(F.col("fetched_at"))).alias("last")).first()["last"]
     last = F.least(F.coalesce(period(F.col("valid_to")), F.lit(ends)), F.lit(ends))

@@ -85,3 +85,11 @@ def test_same_time_entries_and_patterns(spark):
     assert judged(spark, [(1, "http://a.org/x", day(1))], entries) == [(1, "a.org", True)]
     row = spark.createDataFrame([("http://a.b.co.uk/x//y/z/w",), ("http://host",)], ["u"]).select(urls.patterns_of(F.col("u"))).collect()
     assert row[0][0] == ["a.b.co.uk", "b.co.uk", "co.uk", "a.b.co.uk/x", "a.b.co.uk/x/y", "a.b.co.uk/x/y/z"] and row[1][0] == ["host"]
+
+
+def test_entries_of_any_depth_decide(spark):
+    entries = [("a.org", "block", day(1)), ("a.org/1/2/3/4", "allow", day(1)), ("b.org/1/2/3/4/5/6", "block", day(1))]
+    captures = [(1, "http://a.org/1/2/3/4/x", day(2)), (2, "http://a.org/1/2/3", day(2)), (3, "http://b.org/1/2/3/4/5/6", day(2)), (4, "http://b.org/1", day(2))]
+    assert judged(spark, captures, entries) == [
+        (1, "a.org/1/2/3/4", False), (2, "a.org", True), (3, "b.org/1/2/3/4/5/6", True), (4, None, False)
+    ]
