@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, lm, mixing, quality, simhash, tokens, topk, toxicity, urls
+from . import decontaminate, frames, lm, mixing, packing, quality, simhash, tokens, topk, toxicity, urls
 from .base import registered, removed_at_exit
 
 
@@ -235,3 +235,10 @@ def op7_cross_entropy_difference(spark, sf_dir):
 def op1_toxicity_scores(spark, sf_dir):
     """Toxicity of every document, by its most toxic window."""
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@registered()
+def op12_pack_sequences(spark, sf_dir):
+    """Where every document's ids lie in sequences of 4,096."""
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
