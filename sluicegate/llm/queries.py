@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, lm, mixing, packing, quality, simhash, tokens, topk, toxicity, urls
+from . import decontaminate, frames, lm, mixing, packing, quality, ranking, simhash, tokens, topk, toxicity, urls
 from .base import registered, removed_at_exit
 
 
@@ -242,3 +242,37 @@ def op12_pack_sequences(spark, sf_dir):
     """Where every document's ids lie in sequences of 4,096."""
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@registered(r"""
+WITH held AS (
+  SELECT doc_id, row_number() OVER () AS doc,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+asked AS (
+  SELECT query, item_id,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT item_id, text, row_number() OVER () AS query FROM (SELECT DISTINCT item_id, text FROM benchmark))),
+counted AS (SELECT doc, any_value(doc_id) AS doc_id, term, CAST(count(*) AS BIGINT) AS tf FROM held GROUP BY doc, term),
+sized AS (SELECT doc, CAST(sum(tf) AS BIGINT) AS n FROM counted GROUP BY doc),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized),
+weighed AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counted, corpus GROUP BY term),
+impacts AS (
+  SELECT doc, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))) AS impact
+  FROM counted JOIN sized USING (doc) JOIN weighed USING (term), corpus),
+scored AS (
+  SELECT query, any_value(item_id) AS item_id, doc, any_value(doc_id) AS doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM asked JOIN impacts USING (term) GROUP BY query, doc),
+ranked AS (
+  SELECT item_id, doc_id, score,
+    CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""")
+def op13_rank_documents(spark, sf_dir):
+    """The ten documents that each benchmark item's terms rank highest."""
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
