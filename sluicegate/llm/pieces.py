@@ -40,7 +40,7 @@ class Remembered:
     """Results of a function of pieces, worked out many at a time, each once while it is remembered.
 
     When a generation is full it becomes the older one and the one before is dropped, so pieces in use stay. Results are
-    sized (bytes, strings, tuples) and never None. Long pieces are worked out each time.
+    bytes or strings, never None. Long pieces are worked out each time.
     """
 
     def __init__(self, work: Callable[[list], list], generation_bytes: int = GENERATION_BYTES):

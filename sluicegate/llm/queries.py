@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..registered.base import table
 from ..session import scratch_dir
-from . import decontaminate, frames, lm, mixing, packing, quality, ranking, simhash, tokens, topk, toxicity, urls
+from . import alignment, decontaminate, frames, lm, mixing, packing, quality, ranking, simhash, tokens, topk, toxicity, urls
 from .base import registered, removed_at_exit
 
 
@@ -276,3 +278,15 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 def op13_rank_documents(spark, sf_dir):
     """The ten documents that each benchmark item's terms rank highest."""
     return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@registered()
+def op11_align_tokenizers(spark, sf_dir):
+    """How every document's tokens line up under two tokenizers, and how common its linked ids are."""
+    paths = (public_tokenizers.path(p) for p in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.align(table(spark, sf_dir, "documents"), *paths, kept=_sha256)
+    return found.withColumnRenamed("groups", "groups_sha256")
