@@ -12,7 +12,6 @@ A reader fetches the two tables and then only the byte ranges of the documents i
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -26,110 +25,12 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .pieces import byte_ids
+
 #: Fixed values of the seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEKABLE_MAGIC, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 FOOTER = struct.Struct("<IBI")
 SEEK_ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
-#: Pieces of text a worker remembers the ids of (about 100 MB), also while it serves other stages.
-REMEMBERED = 400_000
-TEXTS_AT_ONCE, WORDS_AT_ONCE = 256, 1_000
-#: Text around one space and a word, or white space; the tokenizer never joins characters across these.
-PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-#: A word and signs after it, and how the tokenizer writes a space. An apostrophe is left out, as it may join what follows.
-PLAIN_WORD, SPACE_SIGN = re.compile(r"( ?[A-Za-z]+)([!-&(-/:-@\[-`{-~]*)"), "\u0120"
-#: White space in one of Python and the tokenizer only.
-ODD_SPACE = "\x1c\x1d\x1e\x1f"
-
-
-class Known(dict):
-    """Ids of pieces; those it is asked for in vain are noted and stand for nothing until they are learned."""
-
-    def __init__(self):
-        super().__init__()
-        self.missed: set[str] = set()
-
-    def __missing__(self, piece: str) -> bytes:
-        self.missed.add(piece)
-        return b""
-
-
-class PieceEncoder:
-    """Ids of texts under a byte-level tokenizer, by pieces, each encoded by the library once and then remembered.
-
-    Texts that hold a special token's string or white space that Python sees otherwise go to the library whole.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        if self.tokenizer.normalizer is not None:
-            raise ValueError("pieces of a text are encoded as they are, so the tokenizer must not normalise")
-        self.whole = [*ODD_SPACE, *(t.content for t in self.tokenizer.get_added_tokens_decoder().values())]
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.model, self.known = self.tokenizer.model, Known()
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of ASCII letters after at most one space: one pre-token, which the library's model takes as it is."""
-        if word not in self.known:
-            ids = [t.id for t in self.model.tokenize(word.replace(" ", SPACE_SIGN))]
-            self.known[word] = struct.pack(f"<{len(ids)}I", *ids)
-        return self.known[word]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Encodes pieces: plain words by the model alone, with signs after them apart; the rest a line each in one call.
-
-        No token spans a letter and the sign after it, and the tokenizer has one id for a line's end and joins nothing to it.
-        """
-        plain = {p: m.groups() for p in pieces if (m := PLAIN_WORD.fullmatch(p))}
-        others = pieces.difference(plain) | {tail for _, tail in plain.values() if tail and tail not in self.known}
-        spaces = {p for p in others if p.isspace()}
-        self.known.update((p, self._ids(p)) for p in spaces)
-        words = list(others - spaces)
-        for begin in range(0, len(words), WORDS_AT_ONCE):
-            part = words[begin : begin + WORDS_AT_ONCE]
-            encoded = self.tokenizer.encode_batch_fast(["\n".join([*part, ""])], add_special_tokens=False)[0]
-            ids = np.array(encoded.ids, "<u4")
-            ends = np.flatnonzero(ids == self.line_end) * 4
-            if len(ends) != len(part):
-                raise ValueError("this tokenizer does not keep lines apart")
-            spans = map(slice, [0, *(ends[:-1] + 4).tolist()], ends.tolist())
-            self.known.update(zip(part, map(ids.tobytes().__getitem__, spans)))
-        for piece, (word, tail) in plain.items():
-            self.known[piece] = self._word(word) + self.known[tail] if tail else self._word(word)
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        for begin in range(0, len(texts), TEXTS_AT_ONCE):
-            part, known = texts[begin : begin + TEXTS_AT_ONCE], self.known
-            pieces = [None if any(x in text for x in self.whole) else PIECES.findall(text) for text in part]
-            found: list[bytes | None] = []
-            for text, own in zip(part, pieces):
-                before = len(known.missed)
-                ids = self._ids(text) if own is None else b"".join(map(known.__getitem__, own))
-                found.append(None if len(known.missed) > before or not known.missed.isdisjoint(own or ()) else ids)
-            if len(known) + len(known.missed) > REMEMBERED:
-                known = self.known = Known()
-                known.missed = set().union(*(own for own in pieces if own))
-            self._learn(known.missed)
-            known.missed = set()
-            for own, ids in zip(pieces, found):
-                yield b"".join(map(known.__getitem__, own)) if ids is None else ids
-
-
-_encoders: dict[str, PieceEncoder] = {}
-
-
-def encoder(path: str) -> PieceEncoder:
-    """The worker's encoder of a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
 
 
 def write_shard(sink, documents: Iterator[tuple[int | None, bytes]], level: int = 3) -> tuple[int, int]:
@@ -184,6 +85,12 @@ class ShardReader:
         return np.frombuffer(content, "<u4")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder as a URI, in the store that Spark itself would write it to."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def store_at(folder: str) -> tuple[fs.FileSystem, str]:
     """File system and path of a folder given as URI or as local path."""
     return fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
@@ -202,13 +109,13 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        encode, end = encoder(tokenizer), b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        encode, end = byte_ids(tokenizer), b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
                 texts = [t or "" for t in batch.column("text").to_pylist()]
                 for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
-                    yield doc_id, ids + end
+                    yield doc_id, ids.astype("<u4").tobytes() + end
 
         rows = documents()
         first = next(rows, None)
@@ -225,6 +132,7 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
         yield pa.RecordBatch.from_pylist([{"shard": number, "name": name, "n_docs": counts[0], "n_tokens": counts[1]}])
 
     spark, mark = docs.sparkSession, F.xxhash64("text")
+    folder = qualified(spark, folder)
     ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id", mark)
     ordered = ordered.sortWithinPartitions("doc_id", mark)
     written = ordered.mapInArrow(shard, "shard long, name string, n_docs long, n_tokens long").collect()

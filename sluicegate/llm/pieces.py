@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
@@ -184,7 +185,92 @@ class WordIds:
             yield ids[np.repeat(starts[own] - before, lengths) + np.arange(int(lengths.sum()))]
 
 
+#: White space of which Python and the library's patterns may have different notions; such texts are encoded whole.
+ODD_SPACE = re.compile("[\x1c-\x1f\x85\u180e\u200b\ufeff]")
+#: Text around one space and a word, or white space; byte-level tokenizers never join characters across these.
+PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
+#: Letters after at most one space and signs after them, each one pre-token. The apostrophe is left out, as it may join what
+#: follows.
+PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
+
+
+class ByteIds:
+    """Ids of texts under a byte-level tokenizers file: the distinct pieces of many texts, each encoded while not remembered.
+
+    Texts that hold a special token's string or odd white space go to the library whole.
+    """
+
+    PIECES_AT_ONCE = 300_000
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        if self.tokenizer.normalizer is not None:
+            raise ValueError("pieces of a text are encoded as they are, so the tokenizer must not normalise")
+        self.model, self.signs = self.tokenizer.model, byte_signs()
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        probes = [(m.groups(), p) for p in ("Word", " word", " na\u00efve...", "\u00c9###", " x_&&") if (m := PLAIN.fullmatch(p))]
+        self.plain = all(self._part(x) + self._part(y) == self._ids(p) for (x, y), p in probes)
+        self.known = Remembered(self._encoded)
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of one pre-token."""
+        if not part:
+            return []
+        shown = part.replace(" ", self.signs[32]) if part.isascii() else part.encode().decode("latin-1").translate(self.signs)
+        return [t.id for t in self.model.tokenize(shown)]
+
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        plain = [PLAIN.fullmatch(p) if self.plain else None for p in pieces]
+        others = iter(self.tokenizer.encode_batch_fast([p for p, m in zip(pieces, plain) if not m], add_special_tokens=False))
+        ids = [self._part(m[1]) + self._part(m[2]) if m else next(others).ids for m in plain]
+        sign = "H" if self.dtype.itemsize == 2 else "I"
+        return [struct.pack(f"<{len(x)}{sign}", *x) for x in ids]
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        held, size = [], 0
+        for text in texts:
+            whole = ODD_SPACE.search(text) or any(s in text for s in self.special)
+            held.append(text if whole else PIECES.findall(text))
+            size += len(held[-1])
+            if size >= self.PIECES_AT_ONCE:
+                yield from self._of_pieces(held)
+                held, size = [], 0
+        yield from self._of_pieces(held)
+
+    def _of_pieces(self, texts: list[str | list[str]]) -> Iterator[np.ndarray]:
+        coded = pa.array([p for own in texts if isinstance(own, list) for p in own], pa.large_string()).dictionary_encode()
+        found, places = self.known(_listed(coded.dictionary)), coded.indices.to_numpy()
+        ids, sizes = np.frombuffer(b"".join(found), self.dtype), np.fromiter(map(len, found), np.int64, len(found))
+        sizes //= self.dtype.itemsize
+        starts, begin = np.cumsum(sizes) - sizes, 0
+        for own in texts:
+            if isinstance(own, str):
+                yield np.array(self._ids(own), self.dtype)
+                continue
+            at = places[begin : begin + len(own)]
+            begin += len(own)
+            lengths = sizes[at]
+            yield ids[np.repeat(starts[at] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+
+
 _words: dict[str, WordIds] = {}
+_bytes: dict[str, ByteIds] = {}
+
+
+def byte_ids(path: str) -> ByteIds:
+    """The worker's encoder of a byte-level tokenizer file."""
+    if path not in _bytes:
+        _bytes[path] = ByteIds(path)
+    return _bytes[path]
 
 
 def word_ids(path: str) -> WordIds:

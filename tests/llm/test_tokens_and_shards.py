@@ -6,10 +6,11 @@ import public_tokenizers
 import pytest
 import zstandard
 from hypothesis import given, settings, strategies as st
+from pyarrow import fs
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sluicegate.llm import frames, tokens
+from sluicegate.llm import frames, pieces, tokens
 
 WORDS, BYTES = (public_tokenizers.path(p) for p in ("word_bpe_49k.json", "byte_bpe_50k.json"))
 ODD = ["", " ", "  a", "a  b", "x \n\n y", "\ttab\t", "a <|endoftext|> b", "a  <|endoftext|>\n", "\x1ca b", "\xa0 x y", "it's 'll don't",
@@ -20,24 +21,39 @@ PIECES = st.text(st.sampled_from(" \n\t\r\xa0\x1c\x85abAB1'.,<|>é́\U0001f642")
 
 @pytest.fixture(scope="module")
 def byte_level():
-    return frames.PieceEncoder(BYTES), Tokenizer.from_file(BYTES)
+    return pieces.ByteIds(BYTES), Tokenizer.from_file(BYTES)
 
 
 @settings(max_examples=300, deadline=None)
 @given(text=PIECES)
 def test_pieces_encode_as_whole_texts(byte_level, text):
     encoder, library = byte_level
-    assert np.frombuffer(next(iter(encoder([text]))), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert next(iter(encoder([text]))).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def test_forgetting_changes_nothing(byte_level, monkeypatch):
     _, library = byte_level
-    monkeypatch.setattr(frames, "REMEMBERED", 40)
-    monkeypatch.setattr(frames, "TEXTS_AT_ONCE", 3)
+    monkeypatch.setattr(pieces.ByteIds, "PIECES_AT_ONCE", 20)
+    encoder = pieces.ByteIds(BYTES)
+    encoder.known.generation_bytes = 2_000
     draw = random.Random(2)
-    texts = ODD + [" ".join(draw.choices(["one", "two,", "(three)", "four's", "5.5", "été"], k=30)) for _ in range(30)]
-    got = [np.frombuffer(x, "<u4").tolist() for x in frames.PieceEncoder(BYTES)(texts)]
-    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    words = ["one", "two,", "(three)", "four's", "5.5", "été", "w" * 400, *(f"x{i}" for i in range(50))]
+    texts = ODD + [" ".join(draw.choices(words, k=30)) for _ in range(60)]
+    assert encoder.plain
+    assert [x.tolist() for x in encoder(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(encoder.known.young) + len(encoder.known.young.old) < 60
+
+
+def test_folders_are_those_of_sparks_own_store(spark, tmp_path):
+    assert frames.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert frames.store_at(frames.qualified(spark, "/ckpt/x")) == (fs.LocalFileSystem(), "/ckpt/x")
+    hadoop = spark._jsc.hadoopConfiguration()
+    before = hadoop.get("fs.defaultFS")
+    hadoop.set("fs.defaultFS", "hdfs://127.0.0.1:9/")
+    try:
+        assert frames.qualified(spark, "/ckpt/x") == "hdfs://127.0.0.1:9/ckpt/x"
+    finally:
+        hadoop.set("fs.defaultFS", before)
 
 
 def test_counts_are_the_librarys(spark, odd_docs, no_docs, monkeypatch):
