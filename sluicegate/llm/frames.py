@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .pieces import byte_ids
+from .pieces import as_texts, byte_ids
 
 #: Fixed values of the seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEKABLE_MAGIC, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -113,8 +113,7 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(texts)):
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encode(as_texts(batch.column("text")))):
                     yield doc_id, ids.astype("<u4").tobytes() + end
 
         rows = documents()
@@ -133,7 +132,7 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
 
     spark, mark = docs.sparkSession, F.xxhash64("text")
     folder = qualified(spark, folder)
-    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange("doc_id", mark)
+    ordered = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).repartitionByRange("doc_id", mark)
     ordered = ordered.sortWithinPartitions("doc_id", mark)
     written = ordered.mapInArrow(shard, "shard long, name string, n_docs long, n_tokens long").collect()
     manifest, start = [], 0

@@ -90,7 +90,51 @@ def _listed(column: pa.Array) -> list:
     return column.to_numpy(zero_copy_only=False).tolist()
 
 
-class WordIds:
+class _Words:
+    """Lookup of distinct words as a head, which is remembered among ``parts``, and signs after it.
+
+    Other words, or all if words are not to be split, are remembered among ``others``.
+    """
+
+    SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+    splits: bool
+    dtype: np.dtype
+    parts: Remembered
+    others: Remembered
+    tails: Remembered
+
+    def _of_words(self, words: pa.Array, plain_head: str, letters: str) -> tuple[list[bytes], np.ndarray]:
+        """Packed ids of parts, and the two parts (a row each) that distinct words are made of."""
+        if not self.splits:
+            return [*self.others(_listed(words)), b""], np.stack((np.arange(len(words)), np.full(len(words), len(words))), 1)
+        heads = pc.utf8_rtrim(words, characters=self.SIGNS)
+        plain = pc.match_substring_regex(heads, plain_head)
+        heads = pc.if_else(plain, heads, words).dictionary_encode()
+        tails = pc.if_else(plain, pc.utf8_ltrim(words, characters=letters), "").dictionary_encode()
+        is_part = pc.is_in(heads.dictionary, pc.unique(heads.dictionary.take(heads.indices.filter(plain))))
+        is_part, names = _listed(is_part), _listed(heads.dictionary)
+        parts = iter(self.parts([h for h, p in zip(names, is_part) if p]))
+        others = iter(self.others([h for h, p in zip(names, is_part) if not p]))
+        found = [next(parts) if p else next(others) for p in is_part] + self.tails(_listed(tails.dictionary))
+        return found, np.stack((heads.indices.to_numpy(), tails.indices.to_numpy() + len(names)), 1)
+
+    def _gathered(self, split: pa.Array, plain_head: str, letters: str) -> Iterator[np.ndarray]:
+        """The ids of every list of words."""
+        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)))
+        coded = pc.list_flatten(split).dictionary_encode()
+        found, parts = self._of_words(coded.dictionary, plain_head, letters)
+        ids, sizes = np.frombuffer(b"".join(found), self.dtype), np.fromiter(map(len, found), np.int64, len(found))
+        sizes //= self.dtype.itemsize
+        starts, places = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
+        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            own = parts[places[a:b]].ravel()
+            lengths = sizes[own]
+            before = np.cumsum(lengths) - lengths
+            yield ids[np.repeat(starts[own] - before, lengths) + np.arange(int(lengths.sum()))]
+
+
+class WordIds(_Words):
     """Ids of texts under a tokenizers file whose tokens never span white space.
 
     The distinct words of many texts are looked up, and what is not remembered is encoded. A word of plain letters and signs
@@ -98,7 +142,7 @@ class WordIds:
     a sign between them that has one id of its own. Texts that hold a special token's string go to the library whole.
     """
 
-    SIGN, SIGNS = "\x01", "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    SIGN = "\x01"
     #: Letters that stay the same however a text is normalised. The apostrophe is no sign here, as it may join what follows.
     LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
     letters = "".join(map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
@@ -114,7 +158,7 @@ class WordIds:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts = Remembered(lambda parts: list(map(self._part, parts)))
-        self.others = Remembered(self._others, GENERATION_BYTES // 2)
+        self.tails, self.others = self.parts, Remembered(self._others, GENERATION_BYTES // 2)
         sign = self._ids(self.SIGN)
         apart = [*self._ids("a"), *sign, *self._ids("b")]
         if len(sign) != 1 or any(self._ids(f"a{s}{self.SIGN}{s}b") != apart for s in (" ", " \n", "\t")):
@@ -147,21 +191,6 @@ class WordIds:
         packed = iter([ids[a:b].tobytes() for a, b in zip([0, *(e + 1 for e in ends)], ends)])
         return [self._packed(w) if self.SIGN in w else next(packed) for w in words]
 
-    def _of_words(self, words: pa.Array) -> tuple[list[bytes], np.ndarray]:
-        """Packed ids of parts, and the two parts (a row each) that distinct words are made of."""
-        if not self.splits:
-            return [*self.others(_listed(words)), b""], np.stack((np.arange(len(words)), np.full(len(words), len(words))), 1)
-        heads = pc.utf8_rtrim(words, characters=self.SIGNS)
-        plain = pc.match_substring_regex(heads, f"^[{self.LETTERS}]+$")
-        heads = pc.if_else(plain, heads, words).dictionary_encode()
-        tails = pc.if_else(plain, pc.utf8_ltrim(words, characters=self.letters), "").dictionary_encode()
-        is_part = pc.is_in(heads.dictionary, pc.unique(heads.dictionary.take(heads.indices.filter(plain))))
-        is_part, names = _listed(is_part), _listed(heads.dictionary)
-        parts = iter(self.parts([h for h, p in zip(names, is_part) if p]))
-        others = iter(self.others([h for h, p in zip(names, is_part) if not p]))
-        found = [next(parts) if p else next(others) for p in is_part] + self.parts(_listed(tails.dictionary))
-        return found, np.stack((heads.indices.to_numpy(), tails.indices.to_numpy() + len(names)), 1)
-
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text (no NULL)."""
         lowered = pc.ascii_lower(texts)
@@ -169,20 +198,8 @@ class WordIds:
         for token in self.special:
             special |= pc.match_substring(lowered, token).to_numpy(zero_copy_only=False)
         split = pc.ascii_split_whitespace(lowered if self.folds else texts)
-        ends = np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False), dtype=np.int64)))
-        coded = pc.list_flatten(split).dictionary_encode()
-        found, parts = self._of_words(coded.dictionary)
-        ids, sizes = np.frombuffer(b"".join(found), self.dtype), np.fromiter(map(len, found), np.int64, len(found))
-        sizes //= self.dtype.itemsize
-        starts, places = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
-        for i, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist())):
-            if special[i]:
-                yield np.array(self._ids(texts[i].as_py()), self.dtype)
-                continue
-            own = parts[places[a:b]].ravel()
-            lengths = sizes[own]
-            before = np.cumsum(lengths) - lengths
-            yield ids[np.repeat(starts[own] - before, lengths) + np.arange(int(lengths.sum()))]
+        for i, ids in enumerate(self._gathered(split, f"^[{self.LETTERS}]+$", self.letters)):
+            yield np.array(self._ids(texts[i].as_py()), self.dtype) if special[i] else ids
 
 
 #: White space of which Python and the library's patterns may have different notions; such texts are encoded whole.
@@ -194,13 +211,20 @@ PIECES = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
-class ByteIds:
-    """Ids of texts under a byte-level tokenizers file: the distinct pieces of many texts, each encoded while not remembered.
+class ByteIds(_Words):
+    """Ids of texts under a byte-level tokenizers file.
 
-    Texts that hold a special token's string or odd white space go to the library whole.
+    Texts without runs of white space are split at single spaces and before line ends by Arrow, and their distinct words
+    are looked up; pieces of other texts are found by a pattern. What is not remembered is encoded. Texts that hold a
+    special token's string or odd white space go to the library whole.
     """
 
     PIECES_AT_ONCE = 300_000
+    #: What a word that begins its text or line is written with, as all others have a space before them.
+    FIRST, LINE = "\x00", "\n"
+    LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    letters = "\x00\n" + "".join(map(chr, [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x100)]))
+    RUNS = "[ \n][ \n]|[\t-\t\v-\r\x00\x1c-\x1f\u0085\u00a0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -214,8 +238,11 @@ class ByteIds:
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         probes = [(m.groups(), p) for p in ("Word", " word", " na\u00efve...", "\u00c9###", " x_&&") if (m := PLAIN.fullmatch(p))]
-        self.plain = all(self._part(x) + self._part(y) == self._ids(p) for (x, y), p in probes)
-        self.known = Remembered(self._encoded)
+        self.splits = all(self._part(x) + self._part(y) == self._ids(p) for (x, y), p in probes)
+        self.known = Remembered(self._encoded, GENERATION_BYTES // 2)
+        self.parts = Remembered(lambda words: self._encoded(list(map(self._piece, words))))
+        self.others = Remembered(lambda words: self._encoded(list(map(self._piece, words))), GENERATION_BYTES // 2)
+        self.tails = Remembered(self._encoded, GENERATION_BYTES // 4)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -227,15 +254,29 @@ class ByteIds:
         shown = part.replace(" ", self.signs[32]) if part.isascii() else part.encode().decode("latin-1").translate(self.signs)
         return [t.id for t in self.model.tokenize(shown)]
 
+    def _piece(self, word: str) -> str:
+        return word[1:] if word[:1] == self.FIRST else word if word[:1] == self.LINE else f" {word}"
+
     def _encoded(self, pieces: list[str]) -> list[bytes]:
-        plain = [PLAIN.fullmatch(p) if self.plain else None for p in pieces]
+        plain = [PLAIN.fullmatch(p) if self.splits else None for p in pieces]
         others = iter(self.tokenizer.encode_batch_fast([p for p, m in zip(pieces, plain) if not m], add_special_tokens=False))
         ids = [self._part(m[1]) + self._part(m[2]) if m else next(others).ids for m in plain]
         sign = "H" if self.dtype.itemsize == 2 else "I"
         return [struct.pack(f"<{len(x)}{sign}", *x) for x in ids]
 
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text."""
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text (no NULL)."""
+        special = np.zeros(len(texts), bool)
+        for token in self.special:
+            special |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        runs = pc.match_substring_regex(texts, self.RUNS).to_numpy(zero_copy_only=False) | special
+        marked = pc.binary_join_element_wise(self.FIRST, pc.replace_substring(texts.filter(pa.array(~runs)), "\n", " \n"), "")
+        simple = self._gathered(pc.split_pattern(marked, " "), f"^[\n\x00]?[{self.LETTERS}]+$", self.letters)
+        others = self._by_pieces(texts.filter(pa.array(runs)).to_pylist())
+        for has_runs in runs.tolist():
+            yield next(others) if has_runs else next(simple)
+
+    def _by_pieces(self, texts: list[str]) -> Iterator[np.ndarray]:
         held, size = [], 0
         for text in texts:
             whole = ODD_SPACE.search(text) or any(s in text for s in self.special)
@@ -247,19 +288,14 @@ class ByteIds:
         yield from self._of_pieces(held)
 
     def _of_pieces(self, texts: list[str | list[str]]) -> Iterator[np.ndarray]:
-        coded = pa.array([p for own in texts if isinstance(own, list) for p in own], pa.large_string()).dictionary_encode()
-        found, places = self.known(_listed(coded.dictionary)), coded.indices.to_numpy()
-        ids, sizes = np.frombuffer(b"".join(found), self.dtype), np.fromiter(map(len, found), np.int64, len(found))
-        sizes //= self.dtype.itemsize
-        starts, begin = np.cumsum(sizes) - sizes, 0
+        split = pa.array([p for own in texts if isinstance(own, list) for p in own], pa.large_string()).dictionary_encode()
+        found, places, begin = self.known(_listed(split.dictionary)), split.indices.to_numpy(), 0
         for own in texts:
             if isinstance(own, str):
                 yield np.array(self._ids(own), self.dtype)
-                continue
-            at = places[begin : begin + len(own)]
-            begin += len(own)
-            lengths = sizes[at]
-            yield ids[np.repeat(starts[at] - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))]
+            else:
+                yield np.frombuffer(b"".join(map(found.__getitem__, places[begin : begin + len(own)].tolist())), self.dtype)
+                begin += len(own)
 
 
 _words: dict[str, WordIds] = {}
