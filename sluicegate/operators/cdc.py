@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..errors import JobError, LsnRangeError
 from ..functions.types import quote
+from .incremental import state_text
 
 DELETE, INSERT, BEFORE_UPDATE, UPDATE = 1, 2, 3, 4
 
@@ -154,15 +155,15 @@ def commit_time(log: ChangeLog, since: Column | None = None) -> DataFrame:
 
 
 def last_position(log: ChangeLog, since: Column | None = None) -> tuple:
-    """The log's last position and its commit time as text; with ``since`` only newer ones are looked at. NULLs
+    """The log's last position and its commit time as state text; with ``since`` only newer ones are looked at. NULLs
     if there is none."""
     times = log.times if since is None else log.times.where(F.col(quote(log.time)) >= since)
     position, time = F.col(quote(log.lsn)), F.col(quote(log.time))
-    return tuple(times.agg(F.max(position), F.max_by(time, position).cast("string")).first())
+    return tuple(times.agg(F.max(position), state_text(times.schema[log.time], F.max_by(time, position))).first())
 
 
 def time_literal(log: ChangeLog, text: str) -> Column:
-    """A time in the type of the log's commit times."""
+    """State text in the type of the log's commit times; an instant's text has its offset."""
     return F.lit(text).cast(log.times.schema[log.time].dataType)
 
 

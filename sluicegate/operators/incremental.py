@@ -211,8 +211,8 @@ def _before(df: DataFrame, order: list[str], cut: list) -> Column:
 def watermark_max(df: DataFrame, column: str) -> DataFrame:
     """One row with the highest watermark of a whole table; NULL for an empty one."""
     field = watermark_field(df, column)
-    highest = F.max(F.col(quote(column)))
-    shown = text.rowversion_hex(highest) if isinstance(field.dataType, T.BinaryType) else highest
+    top = highest(field)
+    shown = text.rowversion_hex(top) if isinstance(field.dataType, T.BinaryType) else top
     return df.agg(shown.alias("watermark"))
 
 

@@ -205,3 +205,22 @@ def test_new_rows_without_a_key_fail_the_merge(spark):
     assert sorted(map(str, merge.upsert(base, new, ["k"]).collect())) == ["Row(k=1, v='b')", "Row(k=None, v='n')"]
     with pytest.raises(Exception, match="NULL in its key"):
         merge.upsert(base, spark.createDataFrame([(None, "n2")], "k int, v string"), ["k"]).collect()
+
+
+def test_state_of_instants_means_the_same_in_another_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        rows = spark.createDataFrame([(1, 4, 7, "a"), (2, 4, 8, "b"), (3, 4, 9, "c")], "lsn long, op int, id int, name string")
+        first = F.lit("2024-01-01T06:00:00+09:00").cast("timestamp")
+        df = rows.withColumn("ts", first + F.expr("make_dt_interval(0, 4 * CAST(lsn AS int))"))
+        log = cdc.ChangeLog(df, ["id"])
+        position, state = cdc.last_position(cdc.ChangeLog(df.where("lsn <= 1"), ["id"]))
+        assert (position, state) == (1, "2024-01-01 01:00:00+00:00")
+        for zone in ("Asia/Tokyo", "UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            due = log.df.where(F.col("ts") >= cdc.time_literal(log, state)).select("lsn").collect()
+            assert sorted(r.lsn for r in due) == [1, 2, 3]
+            assert cdc.last_position(log)[1] == "2024-01-01 09:00:00+00:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

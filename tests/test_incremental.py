@@ -163,3 +163,9 @@ def test_instants_mean_the_same_in_every_zone(spark, micros):
         assert sorted(r[0] for r in kept) == [micros, micros + 1]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_nan_is_no_highest_watermark(spark):
+    df = spark.createDataFrame([(1.5,), (float("nan"),), (None,), (0.5,)], "x double")
+    assert incremental.watermark_max(df, "x").collect() == [(1.5,)]
+    assert incremental.watermark_max(df.where("isnan(x)"), "x").collect() == [(None,)]
