@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cdc, incremental, merge
 from ..session import scratch_dir
+from ..sinks.buckets import BucketedTable
 from ..streaming import pull
 from .base import registered, table
 
@@ -116,6 +117,25 @@ def cdc_runs(spark, sf_dir):
     return target
 
 
+@registered(f"""
+WITH {SQL_NET},
+base AS (SELECT user_id, value, event_type FROM (
+           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC) AS n FROM log, bounds
+           WHERE lsn < from_lsn) r WHERE n = 1 AND op <> 1)
+SELECT * FROM base WHERE user_id NOT IN (SELECT user_id FROM net)
+UNION ALL SELECT user_id, value, event_type FROM net WHERE is_deleted = 0
+""")
+def merge_touched(spark, sf_dir):
+    """Changes merged into a stored table, of which only the buckets they fall into are written anew."""
+    log = change_log(spark, sf_dir)
+    from_lsn, to_lsn = range_in_time(log)
+    before = incremental.newest_per_key(log.df.where(F.col("lsn") < from_lsn), ["user_id"], ["lsn"])
+    base = before.where("op <> 1").select("user_id", "value", "event_type")
+    target = BucketedTable.create(base, scratch_dir(spark, "merge-touched"), ["user_id"], 32)
+    target.merge(cdc.net_changes(log, from_lsn, to_lsn, keep_vanished=True))
+    return target.rows()
+
+
 @registered("SELECT o_orderkey, o_orderstatus, o_totalprice, 0 AS is_deleted FROM orders")
 def cdc_full_load(spark, sf_dir):
     """A range that ends before it starts, with the full load allowed."""
@@ -158,3 +178,22 @@ def stream_cdc(spark, sf_dir):
     changes = stream.select(F.col("event_id").alias("lsn"), "ts", "user_id", "value", "event_type", op.alias("op"))
     pull.apply_changes(changes, log, f"{out}/kept", f"{out}/checkpoint").awaitTermination()
     return pull.current_rows(spark.read.parquet(f"{out}/kept"), log)
+
+
+@registered(f"""
+WITH {SQL_LOG}
+SELECT user_id, value, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY lsn DESC) AS n FROM log) r
+WHERE n = 1 AND op <> 1
+""")
+def stream_current(spark, sf_dir):
+    """A bucketed table kept at the state of a change stream, whose newest images are held in a state store."""
+    log = change_log(spark, sf_dir)
+    out = scratch_dir(spark, "stream-current")
+    stream = pull.table_stream(spark, f"{sf_dir}/events.parquet", table(spark, sf_dir, "events").schema)
+    op = F.when(F.col("event_type") == "error", 1).when(F.col("event_type") == "signup", 2).otherwise(4)
+    changes = stream.select(F.col("event_id").alias("lsn"), "ts", "user_id", "value", "event_type", op.alias("op"))
+    empty = log.df.limit(0).select(*log.payload)
+    target = BucketedTable.create(empty, f"{out}/table", log.keys, 16)
+    pull.keep_current(changes, log, target, f"{out}/checkpoint").awaitTermination()
+    return target.rows()

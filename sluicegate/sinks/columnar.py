@@ -24,10 +24,10 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*(partition_by or [])).parquet(path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Takes away a folder of the store that Spark writes to."""
+def remove(spark: SparkSession, path: str) -> bool:
+    """Takes away a folder of the store that Spark writes to; whether there was one."""
     store_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    store_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(store_path, True)
+    return store_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(store_path, True)
 
 
 def save_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, **options: str) -> None:

@@ -9,6 +9,8 @@ from ..functions.types import quote
 from ..operators.cdc import BEFORE_UPDATE, DELETE, IS_DELETED, ChangeLog
 from ..operators import merge
 from ..operators.incremental import newest_per_key
+from ..sinks.buckets import BucketedTable
+from ..sinks.columnar import remove
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None):
@@ -57,6 +59,53 @@ def apply_changes(stream: DataFrame, log: ChangeLog, path: str, checkpoint: str)
     )
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+#: Keeps state on disk and in the checkpoint, so that it may be larger than memory.
+ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def newest_images(stream: DataFrame, log: ChangeLog) -> DataFrame:
+    """The newest image of every key over all that has arrived, deleted keys included, as a stream of its updates.
+
+    The state holds an image a key. A change that comes late does not replace a newer one, and a delete is kept, so that an
+    older row that comes after it does not bring the key back.
+    """
+    op = F.col(quote(log.op))
+    images = stream.where(op != BEFORE_UPDATE).withColumn(IS_DELETED, F.when(op == DELETE, 1).otherwise(0))
+    return newest_per_key(images.select(*(F.col(quote(c)) for c in kept_columns(log))), log.keys, [log.lsn, *log.sequence])
+
+
+def keep_current(stream: DataFrame, log: ChangeLog, target: BucketedTable, checkpoint: str) -> StreamingQuery:
+    """Keeps a bucketed table at the state of a change stream.
+
+    Each micro-batch emits the keys it has changed, which are stored once beside the table and merged into the buckets they
+    fall into, so readers of the table net nothing. A batch that is replayed finds its number in the table's index and is not
+    merged again.
+    """
+    spark = target.spark
+    shown = [F.col(quote(c)) for c in [*log.payload, IS_DELETED]]
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
+        changed = f"{target.path}/changed/batch={batch_id}"
+        batch.select(*shown).write.mode("overwrite").parquet(changed)
+        target.merge(spark.read.schema(batch.select(*shown).schema).parquet(changed), run=batch_id + 1)
+        remove(spark, changed)
+
+    before = spark.conf.get(STATE_STORE, None)
+    spark.conf.set(STATE_STORE, ON_DISK)
+    try:
+        return (
+            newest_images(stream, log)
+            .writeStream.outputMode("update")
+            .foreachBatch(merge_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(STATE_STORE, before) if before is not None else spark.conf.unset(STATE_STORE)
+
+
 def net_of_batch(log: ChangeLog) -> DataFrame:
     """Last image per key with its position and delete flag. Unlike in a closed range, a key that was
     inserted and deleted stays as a deleted one: another batch may hold older changes of it."""
