@@ -1,12 +1,12 @@
 """Output lines, columnar output and record shapes."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..operators.checks import misshapen
 from ..session import scratch_dir
 from ..sinks.columnar import write_parquet
 from ..sinks.lines import lines
-from ..sources.delimited import misshapen_records
+from ..sources.delimited import misshapen_records, parsed_records
 from .base import money, registered, table
 
 
@@ -93,3 +93,16 @@ def bad_records_in_files(spark, sf_dir):
     path = scratch_dir(spark, "bad-records")
     shaped_documents(spark, sf_dir).write.text(path)
     return misshapen_records(spark, path, 3).select("record")
+
+
+@registered("""
+SELECT CAST(doc_id AS VARCHAR) AS c1, text AS c2, lang AS c3, source IS NOT DISTINCT FROM 'src2' AS misshapen, true AS in_order
+FROM documents
+""")
+def split_records(spark, sf_dir):
+    """Records that span lines, read back by byte ranges: their fields, their shape, and whether they are numbered in order."""
+    path = scratch_dir(spark, "split-records")
+    shaped_documents(spark, sf_dir).write.text(path)
+    found = parsed_records(spark, path, 3).select("c1", "c2", "c3", "misshapen", "file", "number")
+    place = F.row_number().over(Window.partitionBy("file").orderBy("number"))
+    return found.withColumn("in_order", F.col("number") == place).drop("file", "number")
