@@ -64,6 +64,39 @@ def since(df: DataFrame, column: str, state: str | None) -> DataFrame:
     return df.where(F.col(quote(column)) >= state_literal(field, state))
 
 
+def row_digest(columns: list[str]) -> Column:
+    """A digest of a row's values in order, the same in every time zone and under other column names."""
+    values = F.struct(*(F.col(quote(c)).alias(f"c{i}") for i, c in enumerate(columns)))
+    return F.sha2(F.to_json(values, {"ignoreNullFields": "false", "timeZone": "UTC"}), 256)
+
+
+def unsent(df: DataFrame, column: str, state: str | None, sent: DataFrame | None) -> DataFrame:
+    """Rows after the state, and those at it that are not among ``sent`` (``digest``, ``n``), copies counted.
+
+    Only rows at the state are looked up, by their digests and with one partial row for all copies in a task, so a watermark
+    that very many rows share moves digests and one image of each.
+    """
+    if state is None or sent is None:
+        return since(df, column, state)
+    value, bound = F.col(quote(column)), state_literal(watermark_field(df, column), state)
+    image = F.struct(*(F.col(quote(c)) for c in df.columns))
+    at_state = df.where(value == bound).select(row_digest(df.columns).alias("digest"), image.alias("row"))
+    met = at_state.groupBy("digest").agg(F.any_value("row").alias("row"), F.count(F.lit(1)).alias("there"))
+    left = F.col("there") - F.coalesce("n", F.lit(0))
+    more = met.join(sent.groupBy("digest").agg(F.sum("n").alias("n")), "digest", "left").where(left > 0)
+    copies = more.select(F.explode(F.array_repeat("row", left.cast("int"))).alias("row"))
+    return df.where(value > bound).unionByName(copies.select(*(F.col("row").getField(c).alias(c) for c in df.columns)))
+
+
+def boundary(written: DataFrame, column: str, state: str | None) -> DataFrame:
+    """Digests (``digest``, ``n``) of the written rows that are at the state, which a later pull meets again."""
+    if state is None:
+        at_state = written.limit(0)
+    else:
+        at_state = written.where(F.col(quote(column)) == state_literal(watermark_field(written, column), state))
+    return at_state.groupBy(row_digest(written.columns).alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def first_rows(
     df: DataFrame, column: str, n: int, tie_break: list[str] | None = None, heap_rows: int | None = None
 ) -> DataFrame:

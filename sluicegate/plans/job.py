@@ -37,8 +37,9 @@ class JobResult:
     null_keys: int = 0
 
 
-def plan(spec: JobSpec, source, state: State, end_lsn=None) -> DataFrame:
-    """The rows of one run, lazily. A change range ends at ``end_lsn``, the position its state is taken from."""
+def plan(spec: JobSpec, source, state: State, end_lsn=None, base: str | None = None) -> DataFrame:
+    """The rows of one run, lazily. A change range ends at ``end_lsn``, the position its state is taken from. What earlier
+    runs left beside their state is looked up below ``base``."""
     if spec.query:
         rows = with_distinct_names(source.query(spec.query, timeout_s=spec.timeout_s))
         return clean_nul_fields(select_columns(rows, spec.columns))
@@ -47,7 +48,13 @@ def plan(spec: JobSpec, source, state: State, end_lsn=None) -> DataFrame:
         return _plan_changes(spec, source, table, state, end_lsn)
     if spec.watermark:
         incremental.watermark_field(table, spec.watermark)
-        table = incremental.since(table, spec.watermark, state.last_fetched_row)
+        if base and hasattr(source, "since"):
+            table = source.since(table, spec.schema, spec.table, spec.watermark, state.last_fetched_row, f"{base}/zones")
+        else:
+            table = incremental.since(table, spec.watermark, state.last_fetched_row)
+        if spec.exactly_once and base:
+            sent = read_boundary(table.sparkSession, base, state)
+            table = incremental.unsent(select_columns(table, spec.columns), spec.watermark, state.last_fetched_row, sent)
         if spec.limit:
             table = incremental.first_rows(table, spec.watermark, spec.limit, spec.primary_key)
     return select_columns(table, spec.columns)
@@ -108,7 +115,9 @@ def run_job(
         state = read_state(spark, f"{base}/state")
         run = state.run + 1
         end_lsn, before = _state_before(spec, source, state)
-        planned = plan(spec, source, state, end_lsn)
+        planned = plan(spec, source, state, end_lsn, base)
+        if spec.exactly_once:  # what is written and what is remembered of it are to be the same rows
+            planned = _pulled(spark, planned, f"{base}/pulled/run={run}")
         key = [k for k in spec.primary_key if k in planned.columns]
         rows, seen = checks.observed(planned, _shown_watermark(spec), key)
         data_path = f"{base}/data/run={run}"
@@ -119,7 +128,7 @@ def run_job(
         measured = seen.get
         count = measured.get("rows") or 0
         new = _state_after(spec, source, state, before, measured, run)
-        if spec.watermark:
+        if spec.watermark and not spec.exactly_once:
             incremental.check_progress(state.last_fetched_row, new.last_fetched_row, count, spec.limit)
         if measured.get("null_keys"):
             log.warning('%d rows of "%s" have a NULL in their primary key.', measured["null_keys"], spec.output)
@@ -130,7 +139,11 @@ def run_job(
             if not spec.query:
                 remove(spark, data_path)
             log.warning('Query result set is empty. Exported "0" rows to "%s".', spec.output)
+        if spec.exactly_once:
+            write_boundary(spark, base, planned, spec.watermark, state, new)
         append_state(spark, f"{base}/state", new, count)
+        if spec.exactly_once:
+            remove(spark, f"{base}/pulled/run={run}")
     kept = data_path if count or spec.query else None
     return JobResult(
         spec.output,
@@ -143,6 +156,29 @@ def run_job(
     )
 
 
+_BOUNDARY = "digest string, n long"
+
+
+def _pulled(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """The same rows, read back from a table; under numbers, as parquet takes no odd names."""
+    names = [f"c{i}" for i in range(len(rows.columns))]
+    rows.toDF(*names).write.mode("overwrite").parquet(path)
+    return spark.read.schema(rows.toDF(*names).schema).parquet(path).toDF(*rows.columns)
+
+
+def read_boundary(spark: SparkSession, base: str, state: State) -> DataFrame | None:
+    """Digests of the rows at the state's watermark that the runs up to it have written."""
+    return spark.read.schema(_BOUNDARY).parquet(f"{base}/boundary/run={state.run}") if state.run else None
+
+
+def write_boundary(spark: SparkSession, base: str, rows: DataFrame, watermark: str, old: State, new: State) -> None:
+    """Keeps them for the next run; where the watermark has not moved, those of the runs before are among them."""
+    found = incremental.boundary(rows, watermark, new.last_fetched_row)
+    if old.run and old.last_fetched_row == new.last_fetched_row:
+        found = found.unionByName(read_boundary(spark, base, old)).groupBy("digest").agg(F.sum("n").alias("n"))
+    found.write.mode("overwrite").parquet(f"{base}/boundary/run={new.run}")
+
+
 def _shown_watermark(spec: JobSpec) -> str | None:
     """The watermark column, where the output holds it."""
     return spec.watermark if spec.watermark and (not spec.columns or spec.watermark in spec.columns) else None

@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text, types
 from ..operators import checks, filters, incremental, merge
+from ..session import scratch_dir
+from ..sinks.columnar import write_parquet
+from ..sources import zones
 from .base import money, registered, table
 
 DATE_STATE = "1996-03-15 00:00:00"
@@ -214,3 +217,40 @@ def pk_check(spark, sf_dir):
         F.when(F.col("l_quantity") == 50, None).otherwise(F.col("l_orderkey")).alias("k"), "l_linenumber"
     )
     return checks.key_report(lines, ["k", "l_linenumber"])
+
+
+@registered(f"SELECT event_id, ts, user_id, event_type, value FROM events WHERE ts >= TIMESTAMP '{TIME_STATE}'")
+def incr_zone_map(spark, sf_dir):
+    """A pull from the files of a table whose zones can hold new rows."""
+    folder = scratch_dir(spark, "zoned")
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    write_parquet(events.repartitionByRange("ts"), f"{folder}/events", sort_by=["ts"])
+    stored = spark.read.schema(events.schema).parquet(f"{folder}/events")
+    return zones.since(spark, stored, f"{folder}/events", "ts", TIME_STATE, f"{folder}/zones")
+
+
+@registered("""
+WITH arrived AS (SELECT event_id, CAST(ts AS DATE) AS day, user_id, value,
+                        1 + (3 * (event_id - min(event_id) OVER ())) // (1 + max(event_id) OVER () - min(event_id) OVER ()) AS run
+                 FROM events),
+states AS (SELECT r.run, max(day) AS state FROM (SELECT DISTINCT run FROM arrived) r JOIN arrived a ON a.run < r.run GROUP BY r.run)
+SELECT a.run, event_id, day, user_id, value FROM arrived a LEFT JOIN states s ON a.run = s.run
+WHERE s.state IS NULL OR day >= s.state
+""")
+def incr_exactly_once(spark, sf_dir):
+    """Three pulls by day of a table that grows, each without the rows of the last day that were sent before."""
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    run = F.floor((3 * (F.col("event_id") - first)) / F.lit(last - first + 1)).cast("int") + 1
+    grown = events.select(run.alias("run"), "event_id", F.col("ts").cast("date").alias("day"), "user_id", "value")
+    state, sent, pulls, folder = None, None, [], scratch_dir(spark, "exactly-once")
+    for number in (1, 2, 3):
+        there = grown.where(F.col("run") <= number).drop("run")
+        incremental.unsent(there, "day", state, sent).write.parquet(f"{folder}/run={number}")
+        pulled = spark.read.schema(there.schema).parquet(f"{folder}/run={number}")
+        pulls.append(pulled.select(F.lit(number).cast("long").alias("run"), "*"))
+        field = incremental.watermark_field(there, "day")
+        new = incremental.next_state(field, state, pulled.agg(incremental.state_text(field, incremental.highest(field))).first()[0])
+        found = incremental.boundary(pulled, "day", new)
+        sent, state = found if sent is None or new != state else found.unionByName(sent), new
+    return pulls[0].unionByName(pulls[1]).unionByName(pulls[2])

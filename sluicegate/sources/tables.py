@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Row, SparkSession
 
 from ..errors import JobError
 from ..functions.types import quote
-from ..operators import catalog
+from ..operators import catalog, incremental
 from ..operators.cdc import ChangeLog
 from ..operators.project import select_columns
-from . import jdbc
+from . import jdbc, zones as file_zones
 
 
 @dataclass
@@ -22,7 +22,8 @@ class FolderSource:
     """Files named ``<table>.<format>`` in one folder, or in ``<schema>/`` below it.
 
     A listed set of files does not change while it is read, so the highest watermark of what was
-    written is the state (``live`` is False).
+    written is the state (``live`` is False). With ``zone_maps``, pulls of parquet tables open only files
+    that can hold new rows.
     """
 
     spark: SparkSession
@@ -31,10 +32,20 @@ class FolderSource:
     options: dict[str, str] = field(default_factory=dict)
     with_schema: bool = False
     live: bool = False
+    zone_maps: bool = False
 
-    def table(self, schema: str | None, name: str, **_) -> DataFrame:
+    def _path(self, schema: str | None, name: str) -> str:
         folder = f"{self.root}/{schema}" if self.with_schema and schema else self.root
-        return self.spark.read.format(self.format).options(**self.options).load(f"{folder}/{name}.{self.format}")
+        return f"{folder}/{name}.{self.format}"
+
+    def table(self, schema: str | None, name: str, **_) -> DataFrame:
+        return self.spark.read.format(self.format).options(**self.options).load(self._path(schema, name))
+
+    def since(self, table: DataFrame, schema: str | None, name: str, column: str, state: str | None, zones: str) -> DataFrame:
+        """Rows of ``table`` at or after a state; the map of its files is kept in ``zones``."""
+        if not self.zone_maps or self.format != "parquet" or state is None:
+            return incremental.since(table, column, state)
+        return file_zones.since(self.spark, table, self._path(schema, name), column, state, zones)
 
     def query(self, sql: str, **_) -> DataFrame:
         return run_query(self.spark, sql)

@@ -20,7 +20,10 @@ def bounded_timeout(seconds: int | None) -> int | None:
 
 @dataclass(frozen=True)
 class JobSpec:
-    """One extract: a table (or view) or a query, and how to pull and write it."""
+    """One extract: a table (or view) or a query, and how to pull and write it.
+
+    With ``exactly_once`` rows at the state's watermark that earlier runs have written do not come again.
+    """
 
     output: str
     table: str | None = None
@@ -33,6 +36,7 @@ class JobSpec:
     incremental: bool = False
     watermark: str | None = None
     limit: int | None = None
+    exactly_once: bool = False
     read_uncommitted: bool = False
     cdc: bool = False
     cdc_full_load_fallback: bool = False
@@ -50,6 +54,8 @@ class JobSpec:
             raise JobError("Change capture needs a table.")
         if self.limit and not self.watermark:
             raise JobError('A limit needs an "incrementalFetchingColumn".')
+        if self.exactly_once and (not self.watermark or self.columns and self.watermark not in self.columns):
+            raise JobError("A pull that sends each row once needs a watermark and has to output it.")
         object.__setattr__(self, "timeout_s", bounded_timeout(self.timeout_s))
 
     @classmethod
