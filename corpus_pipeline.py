@@ -41,7 +41,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place, length and checksum of each document in the shards, read back from them."""
     ship(spark)
     folder = removed_at_exit(spark, scratch_dir(spark, "token-ids"))
-    manifest = frames.write_token_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"))
+    manifest = frames.write_token_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), keep=False)
     return frames.scan_shards(manifest, frames.crc32).withColumnRenamed("value", "ids_crc32")
 
 

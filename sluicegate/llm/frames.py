@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .pieces import as_texts, byte_ids
+from .pieces import as_texts, byte_ids, forget
 
 #: Fixed values of the seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEKABLE_MAGIC, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -96,7 +96,7 @@ def store_at(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if ":/" in folder else (fs.LocalFileSystem(), folder)
 
 
-def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0) -> DataFrame:
+def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 0, keep: bool = True) -> DataFrame:
     """Writes the ids of all ``docs`` in ascending order of doc_id, a shard per range of ids; its manifest.
 
     The manifest has ``shard`` (in order), ``path``, ``n_docs``, ``n_tokens`` and ``start``, the ids in all shards before;
@@ -104,7 +104,8 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
     tasks leave whole shards only.
 
     NULL or empty text: only the end id. NULL id: first in order, marked as without id. Repeated rows: each is written;
-    equal ids are ordered by a hash of their text. Empty table: no shard. Other columns are not read.
+    equal ids are ordered by a hash of their text. Empty table: no shard. Other columns are not read. Without ``keep`` a
+    worker forgets the ids of pieces after each shard.
     """
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,6 +128,9 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
         with system.open_output_stream(attempt) as sink:
             counts = write_shard(sink, (x for part in ((first,), rows) for x in part))
         system.move(attempt, path)
+        if not keep:
+            del encode
+            forget()
         name = path.rsplit("/", 1)[1]
         yield pa.RecordBatch.from_pylist([{"shard": number, "name": name, "n_docs": counts[0], "n_tokens": counts[1]}])
 

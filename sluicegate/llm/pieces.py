@@ -314,3 +314,10 @@ def word_ids(path: str) -> WordIds:
     if path not in _words:
         _words[path] = WordIds(path)
     return _words[path]
+
+
+def forget() -> None:
+    """Gives back what the worker remembers, for applications whose workers go on to other work."""
+    _words.clear()
+    _bytes.clear()
+    pa.default_memory_pool().release_unused()
