@@ -165,7 +165,14 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> Data
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """``docs`` without those that score below the threshold; columns and order of columns as in ``docs``."""
-    x = document_statistics(docs["text"])
-    model = fit(labelled(docs.select("doc_id", x.alias("x")), labels))
-    return docs.filter(score(model, x) >= threshold)
+    """``docs`` without those that score below the threshold; columns and order of columns as in ``docs``.
+
+    Statistics are worked out once and stored beside the documents. NULL and empty texts, labels, ids, repeated rows and
+    empty tables as in ``classify``; extra columns are kept.
+    """
+    name = "x"
+    while name in docs.columns:
+        name += "_"
+    rows = stored(docs.withColumn(name, document_statistics(docs["text"])), "quality")
+    model = fit(labelled(rows.select("doc_id", F.col(name).alias("x")), labels))
+    return rows.filter(score(model, F.col(name)) >= threshold).select(*docs.columns)
