@@ -15,15 +15,19 @@ from sluicegate.registered.base import table
 from sluicegate.session import scratch_dir
 
 
+#: Bytes of a batch of rows that goes to Python: less than for an operator alone, as workers hold on to memory between stages.
+BATCH_BYTES = 2 << 20
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quadratic discriminant does not reject."""
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     return quality.good_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose fingerprints of five-word shingles are linked."""
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     return simhash.one_of_each(docs, words=5, radius=4)
 
 
@@ -39,7 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place, length and checksum of each document in the shards, read back from them."""
-    ship(spark)
+    ship(spark, BATCH_BYTES)
     folder = removed_at_exit(spark, scratch_dir(spark, "token-ids"))
     manifest = frames.write_token_ids(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), keep=False)
     return frames.scan_shards(manifest, frames.crc32).withColumnRenamed("value", "ids_crc32")

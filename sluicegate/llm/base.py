@@ -26,10 +26,10 @@ BATCH_BYTES = 8 << 20
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Sends this package to the Python workers of an application, wherever it was started from, and bounds what they
     are handed at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .pieces import as_texts, byte_ids, forget
+from .pieces import GENERATION_BYTES, as_texts, byte_ids
 
 #: Fixed values of the seekable format.
 SKIPPABLE_IDS, SKIPPABLE_SEEK, SEEKABLE_MAGIC, HAS_CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -105,12 +105,13 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
 
     NULL or empty text: only the end id. NULL id: first in order, marked as without id. Repeated rows: each is written;
     equal ids are ordered by a hash of their text. Empty table: no shard. Other columns are not read. Without ``keep`` a
-    worker forgets the ids of pieces after each shard.
+    worker remembers the ids of fewer pieces, and none after a shard.
     """
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         encode, end = byte_ids(tokenizer), b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        encode.bound(GENERATION_BYTES if keep else GENERATION_BYTES // 4)
 
         def documents() -> Iterator[tuple[int | None, bytes]]:
             for batch in batches:
@@ -129,8 +130,7 @@ def write_token_ids(docs: DataFrame, folder: str, tokenizer: str, end_id: int |
             counts = write_shard(sink, (x for part in ((first,), rows) for x in part))
         system.move(attempt, path)
         if not keep:
-            del encode
-            forget()
+            encode.forget()
         name = path.rsplit("/", 1)[1]
         yield pa.RecordBatch.from_pylist([{"shard": number, "name": name, "n_docs": counts[0], "n_tokens": counts[1]}])
 

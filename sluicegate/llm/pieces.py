@@ -47,6 +47,9 @@ class Remembered:
     def __init__(self, work: Callable[[list], list], generation_bytes: int = GENERATION_BYTES):
         self.work, self.generation_bytes, self.young = work, generation_bytes, _Young({})
 
+    def forget(self) -> None:
+        self.young = _Young({})
+
     def __call__(self, pieces: list) -> list:
         """The result for every piece, in their order."""
         young = self.young
@@ -239,10 +242,21 @@ class ByteIds(_Words):
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         probes = [(m.groups(), p) for p in ("Word", " word", " na\u00efve...", "\u00c9###", " x_&&") if (m := PLAIN.fullmatch(p))]
         self.splits = all(self._part(x) + self._part(y) == self._ids(p) for (x, y), p in probes)
-        self.known = Remembered(self._encoded, GENERATION_BYTES // 2)
-        self.parts = Remembered(lambda words: self._encoded(list(map(self._piece, words))))
-        self.others = Remembered(lambda words: self._encoded(list(map(self._piece, words))), GENERATION_BYTES // 2)
-        self.tails = Remembered(self._encoded, GENERATION_BYTES // 4)
+        self.known, self.tails = Remembered(self._encoded), Remembered(self._encoded)
+        self.parts, self.others = (Remembered(lambda words: self._encoded(list(map(self._piece, words)))) for _ in range(2))
+        self.bound(GENERATION_BYTES)
+
+    def bound(self, generation_bytes: int) -> None:
+        """Bounds what is remembered, words foremost."""
+        self.parts.generation_bytes = generation_bytes
+        self.known.generation_bytes = self.others.generation_bytes = generation_bytes // 2
+        self.tails.generation_bytes = generation_bytes // 4
+
+    def forget(self) -> None:
+        """Gives back what is remembered, for applications whose workers go on to other work."""
+        for remembered in (self.known, self.parts, self.others, self.tails):
+            remembered.forget()
+        pa.default_memory_pool().release_unused()
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -314,10 +328,3 @@ def word_ids(path: str) -> WordIds:
     if path not in _words:
         _words[path] = WordIds(path)
     return _words[path]
-
-
-def forget() -> None:
-    """Gives back what the worker remembers, for applications whose workers go on to other work."""
-    _words.clear()
-    _bytes.clear()
-    pa.default_memory_pool().release_unused()
