@@ -73,3 +73,46 @@ def reconcile(source: DataFrame, copy: DataFrame) -> DataFrame:
     )
     counted = both.groupBy(*columns).agg(F.sum("__s").alias("in_source"), F.sum("__c").alias("in_copy"))
     return counted.where(F.col("in_source") != F.col("in_copy"))
+
+
+#: Most buckets that are named one by one in a filter; more are met by a join.
+_LISTED = 1_000
+
+
+def _key_bucket(keys: list[str], buckets: int):
+    return F.pmod(F.xxhash64(*(F.col(quote(k)) for k in keys)), F.lit(buckets)).cast("int")
+
+
+def digests(df: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Order-free digests of the rows in each bucket of keys: ``bucket``, ``rows`` and two sums of independent row hashes.
+
+    A NULL counts by its place. Every task sums its own rows first, so at most ``buckets`` rows a task move.
+    """
+    values = [x for c in df.columns for x in (F.col(quote(c)), F.col(quote(c)).isNull())]
+    hashes = F.xxhash64(*values), F.xxhash64(F.lit("second"), *reversed(values))
+    sums = [F.sum(h.cast("decimal(20,0)")).alias(f"sum{i}") for i, h in enumerate(hashes)]
+    return df.groupBy(_key_bucket(keys, buckets).alias("bucket")).agg(F.count(F.lit(1)).alias("rows"), *sums)
+
+
+def differing_buckets(source: DataFrame, copy: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Buckets (``bucket``) of which source and copy hold other rows."""
+    here, there = digests(source, keys, buckets), digests(copy.select(*(quote(c) for c in source.columns)), keys, buckets)
+    named = there.select("bucket", *(F.col(c).alias(f"copy_{c}") for c in ("rows", "sum0", "sum1")))
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"copy_{c}")) for c in ("rows", "sum0", "sum1")))
+    return here.join(named, "bucket", "full_outer").where(~same).select("bucket")
+
+
+def reconcile_by_digests(source: DataFrame, copy: DataFrame, keys: list[str], buckets: int = 65_536) -> DataFrame:
+    """The rows of ``reconcile``, of which only those move whose buckets of keys differ.
+
+    Both sides are read twice: for their digests, a row a bucket and task, and for the rows of differing buckets, so what is
+    shuffled grows with the differences. Rows that differ in a key are found in two buckets. Bucket numbers are looked up
+    before the second read; the driver holds ``buckets`` numbers at most.
+    """
+    found = sorted(r["bucket"] for r in differing_buckets(source, copy, keys, buckets).collect())
+    spark, bucket = source.sparkSession, _key_bucket(keys, buckets)
+    if len(found) <= _LISTED:
+        return reconcile(source.where(bucket.isin(found)), copy.where(bucket.isin(found)))
+    listed = spark.createDataFrame([(b,) for b in found], "__bucket int")
+    opened = [side.join(listed, bucket == F.col("__bucket"), "left_semi") for side in (source, copy)]
+    return reconcile(*opened)

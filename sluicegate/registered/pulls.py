@@ -185,7 +185,7 @@ def merge_upsert(spark, sf_dir):
     return merge.upsert(base, arrived, ["user_id"])
 
 
-@registered("""
+SQL_RECONCILE = """
 WITH copy AS (
   SELECT c_custkey, CASE WHEN c_acctbal > 9000 THEN lower(c_mktsegment) ELSE c_mktsegment END AS c_mktsegment
   FROM customer WHERE c_nationkey <> 3
@@ -195,14 +195,28 @@ both_sides AS (
   UNION ALL SELECT c_custkey, c_mktsegment, 0, 1 FROM copy)
 SELECT c_custkey, c_mktsegment, CAST(sum(s) AS BIGINT) AS in_source, CAST(sum(c) AS BIGINT) AS in_copy
 FROM both_sides GROUP BY c_custkey, c_mktsegment HAVING sum(s) <> sum(c)
-""")
+"""
+
+
+@registered(SQL_RECONCILE)
 def reconcile(spark, sf_dir):
+    return merge.reconcile(*customers_and_copy(spark, sf_dir))
+
+
+@registered(SQL_RECONCILE)
+def reconcile_digests(spark, sf_dir):
+    """The same rows, found by digests of key buckets first."""
+    return merge.reconcile_by_digests(*customers_and_copy(spark, sf_dir), ["c_custkey"], 4_096)
+
+
+def customers_and_copy(spark, sf_dir):
+    """Customers, and a copy of them that lacks a nation, holds another twice and spells some segments otherwise."""
     customers = table(spark, sf_dir, "customer")
     source = customers.select("c_custkey", "c_mktsegment")
     changed = F.when(F.col("c_acctbal") > 9000, F.lower("c_mktsegment")).otherwise(F.col("c_mktsegment"))
     kept = customers.where("c_nationkey <> 3").select("c_custkey", changed.alias("c_mktsegment"))
     twice = customers.where("c_nationkey = 4").select("c_custkey", "c_mktsegment")
-    return merge.reconcile(source, kept.unionByName(twice))
+    return source, kept.unionByName(twice)
 
 
 @registered("""

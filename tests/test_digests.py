@@ -1,0 +1,55 @@
+import random
+
+import pytest
+from plans import physical
+
+from sluicegate.operators import merge
+
+SCHEMA = "id long, name string, x double, d date"
+
+
+def rows_of(df):
+    return sorted(map(str, df.collect()))
+
+
+def both(spark, seed, n=300):
+    draw, rows = random.Random(seed), []
+    for i in range(n):
+        rows.append((i, draw.choice(["a", "", None, "é"]), draw.choice([0.0, 1.5, float("nan"), None]), None))
+    copy = [r for r in rows if r[0] % 50 != 7] + [r for r in rows if r[0] % 90 == 3]
+    copy = [(i, "changed" if i % 60 == 9 else n, x, d) for i, n, x, d in copy] + [(5_000, "more", None, None), (None, "keyless", None, None)]
+    draw.shuffle(copy)
+    return spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(copy, SCHEMA)
+
+
+@pytest.mark.parametrize("buckets, listed", [(1, 1_000), (16, 1_000), (4_096, 1_000), (4_096, 2)])
+def test_same_rows_as_counting_all(spark, monkeypatch, buckets, listed):
+    monkeypatch.setattr(merge, "_LISTED", listed)
+    source, copy = both(spark, 1)
+    assert rows_of(merge.reconcile_by_digests(source, copy, ["id"], buckets)) == rows_of(merge.reconcile(source, copy))
+
+
+def test_equal_tables_open_no_bucket(spark):
+    source, _ = both(spark, 2)
+    shuffled = source.repartition(5).select("d", "name", "x", "id")
+    assert merge.differing_buckets(source, shuffled, ["id"], 64).count() == 0
+    found = merge.reconcile_by_digests(source, shuffled, ["id"], 64)
+    assert found.count() == 0 and "LocalTableScan <empty>" in physical(found)  # nothing is read for the second time
+    nothing = source.limit(0)
+    assert merge.reconcile_by_digests(nothing, nothing, ["id"]).count() == 0
+    assert merge.reconcile_by_digests(source, nothing, ["id"]).count() == source.distinct().count()
+
+
+def test_rows_moved_grow_with_the_differences(spark):
+    source, _ = both(spark, 3)
+    copy = source.where("id <> 44")
+    (bucket,) = [r.bucket for r in merge.differing_buckets(source, copy, ["id"], 512).collect()]
+    opened = source.where(merge._key_bucket(["id"], 512) == bucket)
+    assert opened.where("id = 44").count() == 1 and opened.count() < 10
+    assert [(r.id, r.in_source, r.in_copy) for r in merge.reconcile_by_digests(source, copy, ["id"], 512).collect()] == [(44, 1, 0)]
+
+
+def test_nulls_count_by_their_place(spark):
+    left = spark.createDataFrame([(1, "a", None), (2, None, "b")], "id int, p string, q string")
+    right = spark.createDataFrame([(1, None, "a"), (2, "b", None)], "id int, p string, q string")
+    assert merge.reconcile_by_digests(left, right, ["id"], 4).count() == 4
