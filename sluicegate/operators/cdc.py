@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..errors import JobError, LsnRangeError
 from ..functions.types import quote
@@ -93,6 +93,47 @@ def range_between(log: ChangeLog, begin: Column, end: Column, on_no_change: str
     return tuple(lsn_bounds(log, begin, end, on_no_change).first()[:2])
 
 
+def positions_at(times: DataFrame, asked: DataFrame, tables: list[str], time: str = "ts", lsn: str = "lsn") -> DataFrame:
+    """``asked`` with ``last_until`` and ``first_since``: the largest position committed at or before its ``time``, and the
+    smallest at or after it, in the log of its ``tables`` columns. Many times of many logs are looked up at once.
+
+    Times and positions of a log meet by day, in one sort of each; what lies beyond a day's ends is carried over from the
+    days before and after, of which a log has one row each. Positions rise with commit times, and those of one time are
+    reduced before they move.
+
+    NULL without such a position, for a log without positions and for a NULL time. Logs are matched NULL-safe. Repeated
+    rows of ``asked``: each is answered. Empty tables: no rows, or NULLs.
+    """
+    names = [F.col(quote(c)) for c in tables]
+    at = F.col(quote(time))
+    known = times.where(at.isNotNull()).groupBy(*names, at).agg(F.min(F.col(quote(lsn))).alias("__low"), F.max(F.col(quote(lsn))).alias("__high"))
+    known = known.select(*names, at, "__low", "__high", F.lit(None).cast(asked.select(F.struct("*")).schema[0].dataType).alias("__row"))
+    low, high = (F.lit(None).cast(known.schema[c].dataType).alias(c) for c in ("__low", "__high"))
+    met = known.unionByName(asked.select(*names, at, low, high, F.struct("*").alias("__row"))).withColumn("__day", at.cast("date"))
+    of_day = Window.partitionBy(*names, "__day").orderBy(at)
+    inside = met.select(
+        "*", F.max("__high").over(of_day.rangeBetween(Window.unboundedPreceding, 0)).alias("__until"),
+        F.min("__low").over(of_day.rangeBetween(0, Window.unboundedFollowing)).alias("__since"),
+    ).where(F.col("__row").isNotNull())
+    days = met.groupBy(*names, "__day").agg(F.min("__low").alias("__low"), F.max("__high").alias("__high"))
+    of_log = Window.partitionBy(*names).orderBy("__day")
+    carried = days.select(
+        *(n.alias(f"__log{i}") for i, n in enumerate(names)), F.col("__day").alias("__of"),
+        F.max("__high").over(of_log.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
+        F.min("__low").over(of_log.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
+    )
+    same = F.col("__day") == F.col("__of")
+    for i, name in enumerate(names):
+        same = same & name.eqNullSafe(F.col(f"__log{i}"))
+    found = inside.join(carried, same, "left")
+    is_asked = at.isNotNull()
+    return found.select(
+        *(F.col("__row").getField(c).alias(c) for c in asked.columns),
+        F.when(is_asked, F.coalesce("__until", "__before")).alias("last_until"),
+        F.when(is_asked, F.coalesce("__since", "__after")).alias("first_since"),
+    )
+
+
 def check_range(from_lsn, to_lsn) -> None:
     if from_lsn is not None and to_lsn is not None and to_lsn < from_lsn:
         raise LsnRangeError("The end LSN is less than the start LSN.")

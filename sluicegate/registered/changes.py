@@ -197,3 +197,18 @@ def stream_current(spark, sf_dir):
     target = BucketedTable.create(empty, f"{out}/table", log.keys, 16)
     pull.keep_current(changes, log, target, f"{out}/checkpoint").awaitTermination()
     return target.rows()
+
+
+@registered("""
+WITH times AS (SELECT event_type AS log, ts, max(event_id) AS high, min(event_id) AS low FROM events GROUP BY event_type, ts),
+asked AS (SELECT event_id, event_type AS log, ts + INTERVAL 90 MINUTE AS ts FROM events),
+until_ AS (SELECT a.event_id, a.log, a.ts, t.high FROM asked a ASOF LEFT JOIN times t ON a.log = t.log AND a.ts >= t.ts)
+SELECT u.event_id, u.log, u.ts, u.high AS last_until, t.low AS first_since
+FROM until_ u ASOF LEFT JOIN times t ON u.log = t.log AND u.ts <= t.ts
+""")
+def cdc_positions_at(spark, sf_dir):
+    """Positions around the times 90 minutes after every event, in one log for each event type."""
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("log"), "ts", F.col("event_id").alias("lsn"))
+    later = F.col("ts") + F.expr("INTERVAL '90' MINUTE")
+    asked = events.select(F.col("lsn").alias("event_id"), "log", later.alias("ts"))
+    return cdc.positions_at(events, asked, ["log"])

@@ -224,3 +224,28 @@ def test_state_of_instants_means_the_same_in_another_zone(spark):
             assert cdc.last_position(log)[1] == "2024-01-01 09:00:00+00:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_positions_around_many_times(spark):
+    rng = random.Random(4)
+    logs, asked = [], []
+    for name in ("a", "b", None):
+        seconds = sorted(rng.choices(range(0, 400_000, 500), k=60))
+        logs += [(name, s, 10 * i) for i, s in enumerate(seconds)]
+    asked = [(i, rng.choice(["a", "b", None, "none"]), rng.choice([None, -5, 10**6, *range(0, 400_000, 250)])) for i in range(300)]
+    asked += asked[:3]
+
+    def timed(rows, schema):
+        df = spark.createDataFrame(rows, schema)
+        return df.withColumn("ts", F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s)")).drop("s")
+
+    times = timed(logs, "log string, s int, lsn long")
+    found = cdc.positions_at(times, timed(asked, "id int, log string, s int").withColumn("lsn", F.lit("own")), ["log"])
+    wanted = []
+    for i, log, s in asked:
+        own = [(t, p) for n, t, p in logs if n == log and s is not None]
+        wanted.append((i, max((p for t, p in own if t <= s), default=None), min((p for t, p in own if t >= s), default=None)))
+    assert sorted(((r.id, r.last_until, r.first_since) for r in found.collect()), key=str) == sorted(wanted, key=str)
+    assert found.columns == ["id", "log", "ts", "lsn", "last_until", "first_since"]
+    none = cdc.positions_at(times.limit(0), timed([(1, "a", 5)], "id int, log string, s int"), ["log"]).collect()
+    assert [tuple(r)[3:] for r in none] == [(None, None)]
