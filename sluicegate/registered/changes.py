@@ -132,7 +132,7 @@ def merge_touched(spark, sf_dir):
     before = incremental.newest_per_key(log.df.where(F.col("lsn") < from_lsn), ["user_id"], ["lsn"])
     base = before.where("op <> 1").select("user_id", "value", "event_type")
     target = BucketedTable.create(base, scratch_dir(spark, "merge-touched"), ["user_id"], 32)
-    target.merge(cdc.net_changes(log, from_lsn, to_lsn, keep_vanished=True))
+    target.merge(cdc.net_changes(log, from_lsn, to_lsn))
     return target.rows()
 
 
