@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..errors import JobError
+from ..errors import BatchError, JobError
 from ..functions.types import quote
 from ..operators import cdc, checks, incremental
 from ..operators.project import clean_nul_fields, select_columns, with_safe_names
@@ -215,13 +215,21 @@ def _state_after(spec: JobSpec, source, state: State, before: str | None, measur
 
 
 def run_jobs(spark: SparkSession, specs: list[JobSpec], source, out_dir: str, parallel: int = 4, **options) -> list[JobResult]:
-    """All enabled jobs, some at a time, sharing the cluster fairly."""
+    """All enabled jobs, some at a time, sharing the cluster fairly.
+
+    A job that fails stops none of the others; once all have ended, a ``BatchError`` tells what failed and what did not.
+    """
     enabled = [s for s in specs if s.enabled]
     spark.sparkContext.setLocalProperty("spark.scheduler.pool", "sluicegate")
     try:
         work = inheritable_thread_target(spark)(lambda s: run_job(spark, s, source, out_dir, **options))
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            return list(pool.map(work, enabled))
+            ended = [(spec, pool.submit(work, spec)) for spec in enabled]
+        failures = {spec.output: job.exception() for spec, job in ended if job.exception() is not None}
+        results = [job.result() for _, job in ended if job.exception() is None]
+        if failures:
+            raise BatchError(results, failures) from next(iter(failures.values()))
+        return results
     finally:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 

@@ -7,7 +7,7 @@ import fixtures
 import pytest
 from pyspark.sql import functions as F
 
-from sluicegate.errors import JobError, StuckWatermarkError
+from sluicegate.errors import BatchError, JobError, StuckWatermarkError
 from sluicegate.plans.job import run_job, run_jobs, time_limit
 from sluicegate.sinks.manifest import read_json
 from sluicegate.sources.tables import CatalogSource, FolderSource, describe_query, register_views, run_query
@@ -183,6 +183,15 @@ def test_jobs_side_by_side(spark, folder):
     assert [(r.output, r.rows) for r in run_jobs(spark, specs, source, out)] == [("o0", 6), ("o2", 6)]
 
 
+def test_a_failing_job_hides_no_other(spark, folder):
+    source, out = folder
+    specs = [JobSpec("good", table="numbered"), JobSpec("bad", table="numbered", watermark="nothing"), JobSpec("last", table="numbered")]
+    with pytest.raises(BatchError, match='1 of 3 jobs failed: "bad": Column "nothing"') as failed:
+        run_jobs(spark, specs, source, out, parallel=2)
+    assert [(r.output, r.rows) for r in failed.value.results] == [("good", 6), ("last", 6)]
+    assert list(failed.value.failures) == ["bad"] and spark.read.parquet(f"{out}/last/data/run=1").count() == 6
+
+
 def test_view_is_read_like_a_table(spark):
     fixtures.numbered(spark).createOrReplaceTempView("numbered_view")
     assert CatalogSource(spark).table(None, "numbered_view").count() == 6
