@@ -61,16 +61,24 @@ def op8_simhash_near_duplicates(spark, sf_dir):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def _tokens_sql(text: str) -> str:
-    """The slot-marked words of a text in DuckDB; the patterns are RE2's as well as Java's."""
-    named = f"regexp_replace(coalesce({text}, ''), '{_sql(decontaminate.NAME_PATTERN)}', '\\1' || chr(1) || '\\2' || chr(1), 'g')"
-    numbered = f"regexp_replace(lower({named}), '{_sql(decontaminate.NUMBER_PATTERN)}', chr(2) || '\\0', 'g')"
-    measured = f"regexp_replace({numbered}, '{_sql(decontaminate.UNIT_PATTERN)}', '\\1 ' || chr(3) || '\\2\\3', 'g')"
-    return f"regexp_extract_all({measured}, '{_sql(decontaminate.TOKEN_PATTERN)}')"
+#: Patterns of the SQL, written apart from the operator's.
+_NAMES = r"([\p{L}\p{N},;][ \t]+)(\p{Lu}[-'\p{Ll}]+(?:[ \t]\p{Lu}[-'\p{Ll}]+)*)"
+_NUMBERS = r"(\p{N}+(?:[:/.,]\p{N}+)*)"
+_UNITS = (
+    r"(\x02[/:.,\p{N}]+)[\t ]*(mm|cm|km|m|in|inch|inches|ft|foot|feet|yd|yards?|mi|miles?|mg|g|kg|t|oz|lb|ml|cl|l|ms|s|secs?|mins?|h|hrs?"
+    r"|[kmgt]b|w|[km]w|v|a|hz|[kmg]hz|k?j|k?cal|seconds?|minutes?|hours?|days?|weeks?|months?|years?|meters?|metres?|kilometers?|kilometres?"
+    r"|centimeters?|grams?|kilograms?|tons?|tonnes?|pounds?|ounces?|liters?|litres?|gallons?|degrees?|percent|dollars?|cents?|euros?|%|°)"
+    r"([^\p{N}\p{L}]|$)"
+)
+_WORDS = r"\x01[- \t''\p{L}]+\x01|[\x02\x03]?[\p{N}\p{L}](?:[-\p{M}\p{N}\p{L}.,:/'']*[\p{M}\p{N}\p{L}])?|\x03[%°]"
 
 
-def _sql(pattern: str) -> str:
-    return "".join(rf"\x0{ord(c)}" if c < "\x04" else c for c in pattern).replace("'", "''")
+def _tokens_sql(text: str) -> str:
+    """The slot-marked words of a text in DuckDB."""
+    named = f"regexp_replace(coalesce({text}, ''), '{_NAMES.replace(chr(39), chr(39) * 2)}', '\\1' || chr(1) || '\\2' || chr(1), 'g')"
+    numbered = f"regexp_replace(lower({named}), '{_NUMBERS}', chr(2) || '\\1', 'g')"
+    measured = f"regexp_replace({numbered}, '{_UNITS}', '\\1 ' || chr(3) || '\\2\\3', 'g')"
+    return f"regexp_extract_all({measured}, '{_WORDS}')"
 
 
 @registered(f"""
@@ -78,34 +86,37 @@ WITH document_words AS (
   SELECT DISTINCT doc_id, text, {_tokens_sql("text")} AS words FROM documents),
 item_words AS (
   SELECT DISTINCT item_id, {_tokens_sql("text")} AS words FROM benchmark),
+sizes AS (SELECT DISTINCT least(len(words), 8) AS size FROM item_words WHERE len(words) >= 4),
 document_spans AS (
-  SELECT doc_id, md5(text) AS body,
-    unnest(list_transform(range(0, len(words) - 7), lambda i: {{'at': i, 'words': words[i + 1:i + 8]}})) AS span
-  FROM document_words WHERE len(words) >= 8),
+  SELECT doc_id, md5(text) AS body, size,
+    unnest(list_transform(range(0, len(words) - size + 1), lambda i: {{'at': i, 'words': words[i + 1:i + size]}})) AS span
+  FROM document_words JOIN sizes ON len(words) >= size),
 item_spans AS (
-  SELECT item_id, words, unnest(list_transform(range(0, len(words) - 7), lambda i: {{'at': i, 'words': words[i + 1:i + 8]}})) AS span
-  FROM item_words WHERE len(words) >= 8),
+  SELECT item_id, words, size,
+    unnest(list_transform(range(0, len(words) - size + 1), lambda i: {{'at': i, 'words': words[i + 1:i + size]}})) AS span
+  FROM item_words JOIN sizes ON size = least(len(words), 8)),
 document_windows AS (
-  SELECT doc_id, body, span.at AS at, list_filter(span.words, lambda t: t < chr(4)) AS slots,
+  SELECT doc_id, body, size, span.at AS at, list_filter(span.words, lambda t: t < chr(4)) AS slots,
     array_to_string(list_transform(span.words, lambda t: CASE WHEN t < chr(4) THEN substr(t, 1, 1) ELSE t END), ' ') AS template
   FROM document_spans),
 item_windows AS (
-  SELECT item_id, words, span.at AS at, list_filter(span.words, lambda t: t < chr(4)) AS slots,
+  SELECT item_id, words, size, span.at AS at, list_filter(span.words, lambda t: t < chr(4)) AS slots,
     array_to_string(list_transform(span.words, lambda t: CASE WHEN t < chr(4) THEN substr(t, 1, 1) ELSE t END), ' ') AS template
   FROM item_spans),
 aligned AS (
-  SELECT d.doc_id, d.body, i.item_id, i.words, list(DISTINCT i.at) AS places,
+  SELECT d.doc_id, d.body, i.item_id, i.words, i.size, list(DISTINCT i.at) AS places,
     list_distinct(flatten(list(list_zip(i.slots, d.slots)))) AS pairs
-  FROM document_windows d JOIN item_windows i ON d.template = i.template AND len(i.slots) <= 3
-  GROUP BY d.doc_id, d.body, i.item_id, i.words, d.at - i.at),
+  FROM document_windows d JOIN item_windows i ON d.template = i.template AND d.size = i.size
+    AND (len(i.slots) <= 3 AND i.size = 8 OR i.slots = d.slots)
+  GROUP BY d.doc_id, d.body, i.item_id, i.words, i.size, d.at - i.at),
 consistent AS (
-  SELECT *, unnest(places) AS place FROM aligned
+  SELECT *, list_distinct(flatten(list_transform(places, lambda p: range(p, p + size)))) AS covering FROM aligned
   WHERE len(pairs) = len(list_distinct(list_transform(pairs, lambda p: p[1])))),
 covered AS (
-  SELECT doc_id, body, item_id, words, pairs, unnest(range(place, place + 8)) AS word FROM consistent)
+  SELECT doc_id, body, item_id, words, pairs, len(covering) AS run, unnest(covering) AS word FROM consistent)
 SELECT doc_id, item_id, CAST(len(words) AS INTEGER) AS item_words, CAST(count(DISTINCT word) AS INTEGER) AS words_covered,
   bool_or(len(list_filter(pairs, lambda p: p[1] <> p[2])) > 0) AS reworded
-FROM covered GROUP BY doc_id, body, item_id, words HAVING count(DISTINCT word) >= len(words) * 0.5
+FROM covered GROUP BY doc_id, body, item_id, words HAVING count(DISTINCT word) >= len(words) * 0.5 OR max(run) >= 25
 """)
 def op10_benchmark_leaks(spark, sf_dir):
     """Benchmark items found in documents, also with other numbers, names or units in their slots."""

@@ -59,3 +59,49 @@ def test_shuffled_join_gives_the_same(spark, benchmark, odd_docs, monkeypatch):
     broadcast = sorted(map(str, decontaminate.leaks(leaky, benchmark).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
     assert sorted(map(str, decontaminate.leaks(leaky, benchmark).collect())) == broadcast
+
+
+DENSE = "Die Stadt Köln baut im Herbst neue Schulen, Brücken, Strassen, Parks und Häuser."
+SUM = "Anna, Bob, Carl and Dora have 3, 5, 7 and 9 apples. Anna gives Bob 2 and Carl 1. How many has Dora?"
+SHORT = "What is the capital of France?"
+
+
+def caught(spark, item, *texts):
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    return set(found(spark, items, *texts))
+
+
+@pytest.mark.parametrize("item", [DENSE, SUM, SHORT], ids=["slots", "sum", "short"])
+def test_verbatim_copies_of_dense_and_short_items(spark, item):
+    around = f"many words stand before it. {item} and as many others follow after it"
+    other = item.replace("Köln", "Bonn").replace("Brücken", "Wege").replace("5, 7", "8, 7").replace("France", "Spain")
+    assert caught(spark, item, item, around, other, "nothing of the kind is said on this page at all") >= {0, 1}
+    assert caught(spark, SHORT, SHORT.replace("France", "Spain"), "what is the capital") == set()
+
+
+def test_a_long_run_of_a_longer_item_counts(spark):
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    texts = [" ".join(words[50:190]), " ".join(words[10:35]), " ".join(words[10:34])]
+    assert caught(spark, " ".join(words), *texts) == {0, 1}
+
+
+def test_tables_of_numbers_meet_word_by_word(spark):
+    table = " ".join(map(str, range(100, 130)))
+    assert caught(spark, table, table, " ".join(map(str, range(500, 2500)))) == {0}
+
+
+def test_very_long_texts_are_read_in_spans(spark):
+    rows = spark.range(2).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.expr("repeat('some filler words again ', 700000)"), F.when(F.col("id") == 1, QUESTION).otherwise("")).alias("text"),
+    )
+    items = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.leaks(rows, items).collect()] == [1]
+
+
+@pytest.mark.parametrize("width, overlap", [(10, 4), (7, 3), (100, 10)])
+def test_spans_hold_every_piece(spark, width, overlap):
+    text = "".join(chr(97 + i % 26) + str(i % 10) for i in range(43))
+    row = spark.createDataFrame([(text,)], ["t"]).select(decontaminate.spans(F.col("t"), width, overlap))
+    got = [r["span"] for r in row.collect()]
+    assert all(any(text[i : i + overlap] in s for s in got) for i in range(len(text))) and all(len(s) <= width for s in got)
