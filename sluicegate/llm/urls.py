@@ -41,13 +41,21 @@ def patterns_of(url: Column, path_depth: int = PATH_DEPTH) -> Column:
     return F.when(host_of(url).isNotNull(), F.array_distinct(F.concat(domains, paths)))
 
 
+def plain_pattern(pattern: Column) -> Column:
+    """A list's pattern as ``patterns_of`` spells it: bare lower-case host, then the path's segments without empty ones."""
+    parts = F.filter(F.split(pattern, "/"), lambda p: p != "")
+    host = F.regexp_replace(F.regexp_replace(F.lower(F.get(parts, F.lit(0))), r"^www[.]", ""), r"[.]+$", "")
+    return F.array_join(F.concat(F.array(host), F.slice(parts, 2, F.greatest(F.size(parts), F.lit(1)))), "/")
+
+
 def validity(entries: DataFrame) -> DataFrame:
     """``pattern``, ``action``, ``valid_from`` and ``valid_to`` (NULL: still open) of the list ``entries``.
 
     ``entries`` has ``pattern``, ``action`` (block, allow or remove) and ``at``. An entry holds until the pattern's next
-    one; of entries of one pattern and time the last by name of action holds. Entries with a NULL are left out.
+    one; of entries of one pattern and time the last by name of action holds. Entries with a NULL are left out. Patterns are
+    told apart, and returned, as ``plain_pattern`` spells them.
     """
-    sound = entries.select("pattern", "action", "at").dropna()
+    sound = entries.select(plain_pattern(entries["pattern"]).alias("pattern"), "action", "at").dropna()
     one = sound.groupBy("pattern", "at").agg(F.max("action").alias("action"))
     following = F.lead("at").over(Window.partitionBy("pattern").orderBy("at"))
     spans = one.select("pattern", "action", F.col("at").alias("valid_from"), following.alias("valid_to"))
@@ -65,7 +73,7 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     three last columns are NULL and the page is not blocked. NULL or hostless URLs and NULL times: not blocked. Repeated
     rows: each is judged. Paths are looked up as deep as the list has any. Empty tables: no rows, or nothing blocked. Other columns are not read.
     """
-    segments = F.size(F.split("pattern", "/")) - 1
+    segments = F.size(F.split(plain_pattern(F.col("pattern")), "/")) - 1
     deepest = entries.filter("pattern IS NOT NULL").agg(F.max(segments).alias("n")).first()["n"] or 0
     sure = captures.select("url", "fetched_at").filter("url IS NOT NULL AND fetched_at IS NOT NULL").distinct()
     looked = sure.select("url", "fetched_at", F.explode(patterns_of(F.col("url"), deepest)).alias("pattern"))

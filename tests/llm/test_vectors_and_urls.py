@@ -93,3 +93,9 @@ def test_entries_of_any_depth_decide(spark):
     assert judged(spark, captures, entries) == [
         (1, "a.org/1/2/3/4", False), (2, "a.org", True), (3, "b.org/1/2/3/4/5/6", True), (4, None, False)
     ]
+
+
+def test_patterns_are_compared_as_hosts_are(spark):
+    rows = [("Bad.org",), ("www.bad.org",), ("bad.org/",), ("bad.org/x/",), ("WWW.Bad.org.//x/Y",), ("",), (None,)]
+    got = spark.createDataFrame(rows, "p string").select(urls.plain_pattern(F.col("p"))).collect()
+    assert [r[0] for r in got] == ["bad.org", "bad.org", "bad.org", "bad.org/x", "bad.org/x/Y", "", None]
