@@ -97,9 +97,10 @@ def positions_at(times: DataFrame, asked: DataFrame, tables: list[str], time: st
     """``asked`` with ``last_until`` and ``first_since``: the largest position committed at or before its ``time``, and the
     smallest at or after it, in the log of its ``tables`` columns. Many times of many logs are looked up at once.
 
-    Times and positions of a log meet by day, in one sort of each; what lies beyond a day's ends is carried over from the
-    days before and after, of which a log has one row each. Positions rise with commit times, and those of one time are
-    reduced before they move.
+    Times and positions of a log meet by day, in one shuffle and two sorts of each, as positions after a time are looked up in
+    falling order: Spark adds to a frame that starts with its partition, but computes one that ends with it anew for every row.
+    What lies beyond a day's ends is carried over from the days before and after, of which a log has one row each. Positions
+    rise with commit times, and those of one time are reduced before they move.
 
     NULL without such a position, for a log without positions and for a NULL time. Logs are matched NULL-safe. Repeated
     rows of ``asked``: each is answered. Empty tables: no rows, or NULLs.
@@ -110,17 +111,16 @@ def positions_at(times: DataFrame, asked: DataFrame, tables: list[str], time: st
     known = known.select(*names, at, "__low", "__high", F.lit(None).cast(asked.select(F.struct("*")).schema[0].dataType).alias("__row"))
     low, high = (F.lit(None).cast(known.schema[c].dataType).alias(c) for c in ("__low", "__high"))
     met = known.unionByName(asked.select(*names, at, low, high, F.struct("*").alias("__row"))).withColumn("__day", at.cast("date"))
-    of_day = Window.partitionBy(*names, "__day").orderBy(at)
+    of_day = Window.partitionBy(*names, "__day").rangeBetween(Window.unboundedPreceding, 0)
     inside = met.select(
-        "*", F.max("__high").over(of_day.rangeBetween(Window.unboundedPreceding, 0)).alias("__until"),
-        F.min("__low").over(of_day.rangeBetween(0, Window.unboundedFollowing)).alias("__since"),
+        "*", F.max("__high").over(of_day.orderBy(at)).alias("__until"), F.min("__low").over(of_day.orderBy(at.desc())).alias("__since"),
     ).where(F.col("__row").isNotNull())
     days = met.groupBy(*names, "__day").agg(F.min("__low").alias("__low"), F.max("__high").alias("__high"))
-    of_log = Window.partitionBy(*names).orderBy("__day")
+    of_log = Window.partitionBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     carried = days.select(
         *(n.alias(f"__log{i}") for i, n in enumerate(names)), F.col("__day").alias("__of"),
-        F.max("__high").over(of_log.rowsBetween(Window.unboundedPreceding, -1)).alias("__before"),
-        F.min("__low").over(of_log.rowsBetween(1, Window.unboundedFollowing)).alias("__after"),
+        F.max("__high").over(of_log.orderBy("__day")).alias("__before"),
+        F.min("__low").over(of_log.orderBy(F.desc("__day"))).alias("__after"),
     )
     same = F.col("__day") == F.col("__of")
     for i, name in enumerate(names):

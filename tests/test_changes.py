@@ -2,6 +2,7 @@ import random
 
 import pytest
 from pyspark.errors import UnsupportedOperationException
+from plans import physical
 from pyspark.sql import functions as F
 
 from sluicegate.errors import LsnRangeError
@@ -249,3 +250,12 @@ def test_positions_around_many_times(spark):
     assert found.columns == ["id", "log", "ts", "lsn", "last_until", "first_since"]
     none = cdc.positions_at(times.limit(0), timed([(1, "a", 5)], "id int, log string, s int"), ["log"]).collect()
     assert [tuple(r)[3:] for r in none] == [(None, None)]
+
+
+def test_positions_around_times_compute_no_frame_anew_for_a_row(spark):
+    """A frame that ends with its partition is computed anew for every row; 6 million times took beyond any limit."""
+    at = F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, int(id))")
+    day = spark.range(40).select(F.lit("a").alias("log"), at.alias("ts"), F.col("id").alias("lsn"))
+    found = cdc.positions_at(day, day.select("log", "ts"), ["log"])
+    assert "unboundedfollowing" not in physical(found)
+    assert [(r.last_until, r.first_since) for r in found.orderBy("ts").collect()] == [(i, i) for i in range(40)]
