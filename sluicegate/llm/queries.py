@@ -239,9 +239,10 @@ def op3_url_filter(spark, sf_dir):
 
 @registered()
 def op7_cross_entropy_difference(spark, sf_dir):
-    """How much more each document is like the benchmark's texts than like all documents."""
+    """How much more each document's words are like the benchmark's texts than like all documents."""
     docs = table(spark, sf_dir, "documents")
-    return lm.score_documents(docs, table(spark, sf_dir, "benchmark").select("text"), docs.select("text"))
+    target = table(spark, sf_dir, "benchmark").select("text")
+    return lm.score_documents(docs, target, docs.select("text"), of_words=True, order=2)
 
 
 @registered()

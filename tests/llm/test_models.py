@@ -207,3 +207,65 @@ def test_language_models_on_odd_rows(spark, odd_docs, no_docs):
     assert lm.score_documents(odd_docs, no_docs.select("text"), text).count() == odd_docs.count()
     assert lm.score_documents(odd_docs, no_docs.select("text"), no_docs.select("text")).filter("score <> 0").count() == 0
     assert lm.score_documents(no_docs, text, text).count() == 0
+
+
+def test_every_byte_is_a_symbol_of_its_own():
+    assert len({0, *lm.SYMBOL_OF.tolist()}) == lm.SYMBOLS == 257
+
+
+def test_words_of_texts():
+    def words(*texts):
+        ids, counts = lm.word_ids([t if isinstance(t, bytes) else t.encode() for t in texts])
+        return ids.tolist(), counts.tolist()
+
+    ids, counts = words("The den, the", "", " \t", "日本語", "Москва москва", "naïve", b"a\x80")
+    assert counts == [4, 0, 0, 3, 2, 1, 2] and ids[0] == ids[3] != ids[1] and ids[7] != ids[8] and 0 not in ids
+    assert len(set(ids)) == len(ids) - 1
+    assert words("den The", "本")[0] == [ids[1], ids[0], ids[5]]
+    long = "ab " * 700_000 + "x" * 3_000_000 + "." + "日" * 500_000
+    assert words("a", long, "b")[1] == [1, 1_200_002, 1]
+
+
+def plain_word_losses(text, sides, order):
+    """Losses of a text of known words by dictionaries of word n-grams."""
+    counts = []
+    for texts in sides:
+        grams, heads = Counter(), Counter()
+        for words in ([""] * (order - 1) + t.split() for t in texts if t):
+            for i in range(order - 1, len(words)):
+                for k in range(order):
+                    grams[tuple(words[i - k : i + 1])] += 1
+                    heads[tuple(words[i - k : i])] += 1
+        counts.append((grams, heads))
+    totals = [heads[()] for _, heads in counts]
+    known = {g for grams, _ in counts for g in grams if len(g) == 1}
+    words, losses = [""] * (order - 1) + text.split(), []
+    for (grams, heads), scale in zip(counts, (1, totals[0] / totals[1])):
+        loss = 0
+        for i in range(order - 1, len(words)):
+            chance = (sum(g[tuple(words[i : i + 1])] for g, _ in counts) + 1) / (sum(totals) + len(known) + 1)
+            for k in range(order):
+                gram = tuple(words[i - k : i + 1])
+                chance = (scale * grams[gram] + lm.PRIOR * chance) / (scale * heads[gram[:-1]] + lm.PRIOR)
+            loss -= math.log(chance)
+        losses.append(loss / (len(words) - order + 1))
+    return losses
+
+
+@pytest.mark.parametrize("order", [2, 3])
+@pytest.mark.parametrize("own", [True, False])
+def test_word_models_against_dictionaries(spark, monkeypatch, order, own):
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 20)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 60)
+    draw = np.random.default_rng(3)
+    texts = [" ".join(draw.choice(["sun", "rain", "снег", "wind", "été", "x1"], n)) for n in draw.integers(1, 12, 60)]
+    target = [*texts[:4], "rain on old roofs", None]
+    rows = [*enumerate(texts), (None, texts[7]), (3, texts[9]), (90, ""), (91, None), (92, "never seen sun")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sides = [t for t in target if t], [t for _, t in rows if t] if own else texts[:30]
+    background = docs.select("text") if own else spark.createDataFrame([(t,) for t in sides[1]], "text string")
+    found = lm.score_documents(docs, spark.createDataFrame([(t,) for t in target], "text string"), background, True, order).collect()
+    key = lambda r: (str(r[0]), r[1], *np.round(r[2:], 9))
+    wanted = [(i, len((t or "").split()), *(plain_word_losses(t, sides, order) if t else (0.0, 0.0))) for i, t in rows]
+    assert sorted(map(key, (tuple(r)[:4] for r in found))) == sorted(map(key, wanted))
+    assert all(r.score == r.target_loss - r.background_loss for r in found)
