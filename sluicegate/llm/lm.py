@@ -27,7 +27,7 @@ ORDER = 4
 #: Weight, in tokens, of the model of next lower order in the estimate of a higher one.
 PRIOR = 5.0
 #: Bytes of text that are cut into words together, tokens and texts of a block, tokens whose n-grams meet in one bucket.
-BYTES_AT_ONCE, BLOCK_TOKENS, BLOCK_DOCS, BUCKET_TOKENS = 1 << 20, 2_000_000, 65_536, 2_000_000
+BYTES_AT_ONCE, BLOCK_TOKENS, BLOCK_DOCS, BUCKET_TOKENS = 1 << 20, 1_500_000, 65_536, 2_000_000
 #: Roles of texts; those that are scored and are the background too have both.
 SCORED, BACKGROUND, TARGET = 1, 2, 4
 
