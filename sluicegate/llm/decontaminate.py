@@ -3,7 +3,8 @@ hash, and a benchmark item counts as leaked if the values in its slots are repla
 
 Windows of mostly slots, and items shorter than a window, say too little as templates: these have to match word by word.
 
-All of it is Spark SQL expressions. The regular expressions use only what RE2 has as well.
+All of it is Spark SQL expressions. Repeated groups are possessive (``*+``): Java's stack holds each repetition of others, and
+long runs of names or numbers overflow it. Nothing follows them, so matches are the same; else patterns use only what RE2 has.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ UNITS = (
 #: Marks before a slot's value; all are below any character of a word.
 NAME, NUMBER, UNIT = "\x01", "\x02", "\x03"
 #: Capitalised words inside a sentence: after a word character or a comma and blanks, not after a sentence's end.
-NAME_PATTERN = r"([\p{L}\p{N},;][ \t]+)(\p{Lu}[\p{Ll}'-]+(?:[ \t]\p{Lu}[\p{Ll}'-]+)*)"
-NUMBER_PATTERN = r"\p{N}+(?:[.,:/]\p{N}+)*"
+NAME_PATTERN = r"([\p{L}\p{N},;][ \t]+)(\p{Lu}[\p{Ll}'-]+(?:[ \t]\p{Lu}[\p{Ll}'-]+)*+)"
+NUMBER_PATTERN = r"\p{N}+(?:[.,:/]\p{N}+)*+"
 UNIT_PATTERN = rf"({NUMBER}[\p{{N}}.,:/]+)[ \t]*({'|'.join(sorted(UNITS, key=lambda u: (-len(u), u)))}|[%°])([^\p{{L}}\p{{N}}]|$)"
 TOKEN_PATTERN = rf"{NAME}[\p{{L}}' \t-]+{NAME}|[{NUMBER}{UNIT}]?[\p{{L}}\p{{N}}](?:[\p{{L}}\p{{N}}\p{{M}}.,:/'-]*[\p{{L}}\p{{N}}\p{{M}}])?|{UNIT}[%°]"
 

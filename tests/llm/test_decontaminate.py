@@ -99,6 +99,16 @@ def test_very_long_texts_are_read_in_spans(spark):
     assert [r["doc_id"] for r in decontaminate.leaks(rows, items).collect()] == [1]
 
 
+def test_long_runs_of_names_and_numbers_are_one_slot(spark):
+    names, numbers, times = " ".join(["Éva-lotta"] * 12_000), "1," * 60_000 + "2", "said " * 20 + "9:" * 60_000 + "9"
+    docs = spark.createDataFrame([(1, f"{names} {QUESTION}"), (2, f"we met {names}"), (3, numbers), (4, times)], "doc_id long, text string")
+    words = {r[0]: r[1] for r in docs.select("doc_id", decontaminate.tokens(F.col("text"))).collect()}
+    assert words[2] == ["we", "met", f"{NAME}{names.lower()}{NAME}"] and words[3] == [f"{NUMBER}{numbers}"]
+    assert words[4] == ["said"] * 20 + [NUMBER + "9:" * 60_000 + "9"]
+    items = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    assert [(r["doc_id"], r["reworded"]) for r in decontaminate.leaks(docs, items).collect()] == [(1, False)]
+
+
 @pytest.mark.parametrize("width, overlap", [(10, 4), (7, 3), (100, 10)])
 def test_spans_hold_every_piece(spark, width, overlap):
     text = "".join(chr(97 + i % 26) + str(i % 10) for i in range(43))
