@@ -1,6 +1,8 @@
 import datetime as dt
+import tracemalloc
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sluicegate.llm import topk, urls
@@ -37,6 +39,39 @@ def test_top_products_with_ties_and_copies(spark, monkeypatch):
     assert found(spark, rows, 5, asked) == plain_top(rows, 5, asked)
 
 
+def test_tiles_of_few_bytes_give_the_same(spark, monkeypatch):
+    for name, value in (("STEP", 16), ("SEEDS", 8), ("TILE_BYTES", 1_000)):  # of some 70 candidates and queries
+        monkeypatch.setattr(topk, name, value)
+    draw = np.random.default_rng(5)
+    rows = [(i, [int(x) for x in draw.integers(-100, 101, 6)]) for i in range(400)] + [(i, [7, 7]) for i in range(400, 440)]
+    asked = {i for i in range(440) if i % 2}
+    assert found(spark, rows, 5, asked) == plain_top(rows, 5, asked)
+
+
+@pytest.mark.parametrize("scale", [1, 10**5, 10**8], ids=["float32", "float64", "int64"])
+@pytest.mark.parametrize("sparse", [False, True])
+def test_best_of_tile_keeps_little_in_memory(scale, sparse):
+    draw = np.random.default_rng(7)
+    c = draw.integers(-120, 121, (6_000, 8)) * scale * np.array([1] * 4 + [0 if sparse else 1] * 4)
+    c = c[np.argsort(-topk.lengths(c), kind="stable")]
+    q, ids, k = c[::2].copy(), np.arange(6_000)[::-1].copy(), 5
+    c[50:400] = c[50]  # ties
+    floors, turn = np.full(len(q), -np.inf), np.eye(8)
+    tracemalloc.start()
+    got = topk.best_of_tile(ids[::2], q, floors, ids, c, turn, k)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+    rows = {}
+    for a, b, s in zip(*(x.tolist() for x in got)):
+        rows.setdefault(a, []).append((-s, b))
+    exact = q[:200] @ c.T
+    for i, scores in enumerate(exact):
+        own = ids[2 * i]
+        best = np.lexsort((ids, -scores))[: k + 1]
+        assert sorted(rows[own]) == [(-int(scores[j]), int(ids[j])) for j in best if ids[j] != own][:k]
+
+
 def test_few_and_large_vectors(spark):
     rows = [(0, [2**26, 3]), (50, [2**27 + 1, -5]), (7, [-(2**26), 1])]
     assert found(spark, rows, 5, {0, 50}) == plain_top(rows, 5, {0, 50})
